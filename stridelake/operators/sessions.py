@@ -75,21 +75,25 @@ def event_time_sessions(
     per sensor and gap-wide time slot first, and only slots reach the session window. A stream needs
     the timestamp column `event_ts` with a watermark.
     """
-    counted = {"records": F.count(F.lit(1)), "max_velocity": F.max(F.when(~F.isnan(velocity), F.col(velocity)))}
     if df.isStreaming:
-        window, last = F.session_window(event_ts, f"{gap_us} microseconds"), gap_us
-        merged = df.groupBy(key, window.alias("_w")).agg(*[c.alias(n) for n, c in counted.items()])
+        slots = df.withColumns({
+            "_from": F.unix_micros(event_ts), "_to": F.unix_micros(event_ts), "_records": F.lit(1).cast("long"),
+            "_top": F.when(~F.isnan(velocity), F.col(velocity))})
+        window = F.session_window(event_ts, f"{gap_us} microseconds")
     else:
         slots = (
             df.filter(F.col(ts).isNotNull())
             .groupBy(key, F.floor(F.col(ts) / F.lit(gap_us)).alias("_slot"))
-            .agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"), *[c.alias(n) for n, c in counted.items()])
+            .agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"), F.count(F.lit(1)).alias("_records"),
+                 F.max(F.when(~F.isnan(velocity), F.col(velocity))).alias("_top"))
         )
         reach = F.concat((F.col("_to") - F.col("_from") + gap_us).cast("string"), F.lit(" microseconds"))
-        window, last = F.session_window(F.timestamp_micros("_from"), reach), gap_us
-        merged = slots.groupBy(key, window.alias("_w")).agg(
-            F.sum("records").alias("records"), F.max("max_velocity").alias("max_velocity"))
-    start = F.unix_micros("_w.start")
+        window = F.session_window(F.timestamp_micros("_from"), reach)
+    # Start and end come from aggregates, not from the window column: Spark would push a filter on
+    # that column under the merge of the windows.
+    merged = slots.groupBy(key, window.alias("_w")).agg(
+        F.min("_from").alias("session_start_us"), F.max("_to").alias("session_last_us"),
+        F.sum("_records").alias("records"), F.max("_top").alias("max_velocity"))
     return merged.select(
-        session_id(F.col(key), start).alias("sensor_session_id"), key, start.alias("session_start_us"),
-        (F.unix_micros("_w.end") - last).alias("session_last_us"), "records", "max_velocity")
+        session_id(F.col(key), F.col("session_start_us")).alias("sensor_session_id"), key,
+        "session_start_us", "session_last_us", "records", "max_velocity")
