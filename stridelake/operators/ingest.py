@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from stridelake.operators.once import computed_once
 from stridelake.schemas import INPUT_RECORD
 
 CORRUPT = "_corrupt_record"
@@ -39,11 +40,10 @@ def parse(messages: DataFrame, schema: T.StructType = INPUT_RECORD) -> DataFrame
     Inside a sample, anything that is not a number is only left out. Spark marks such rows as corrupt
     too, so the marked ones, and only those, are read again with open maps to see if the outline holds.
     """
-    parsed = messages.withColumn("record", _reading(schema))
+    parsed = computed_once(messages, record=_reading(schema))
     marked = F.col(f"record.{CORRUPT}")
-    return parsed.withColumn(
-        CORRUPT, F.when(marked.isNotNull(), _reading(_outline(schema))[CORRUPT])
-    ).withColumn("record", F.col("record").dropFields(CORRUPT))
+    checked = computed_once(parsed, **{CORRUPT: F.when(marked.isNotNull(), _reading(_outline(schema))[CORRUPT])})
+    return checked.withColumn("record", F.struct(*[F.col(f"record.{f.name}").alias(f.name) for f in schema]))
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
@@ -64,8 +64,10 @@ def strict(parsed: DataFrame) -> DataFrame:
 
 def with_broker_time(records: DataFrame) -> DataFrame:
     """Set the record's kafka_timestamp, in microseconds, from the broker's milliseconds."""
-    return records.withColumn(
-        "record", F.col("record").withField("kafka_timestamp", F.unix_millis("timestamp") * 1000))
+    stamp = F.unix_millis("timestamp") * 1000
+    fields = [f.name for f in records.schema["record"].dataType]
+    kept = [stamp.alias(f) if f == "kafka_timestamp" else F.col(f"record.{f}").alias(f) for f in fields]
+    return records.withColumn("record", F.struct(*kept))
 
 
 def input_records(messages: DataFrame, on_error: str = "quarantine") -> DataFrame:

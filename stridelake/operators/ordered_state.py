@@ -80,7 +80,9 @@ def _run(
         rows = rows.unionByName(
             starts.filter(F.col("_start").isNotNull()).select(key, CHUNK, F.col("_start").alias(STATE)),
             allowMissingColumns=True)
-    placed = rows.repartition(key, CHUNK).sortWithinPartitions(
+    # A fixed number of tasks: the step costs more per byte than AQE assumes when it joins small ones.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartition(tasks, key, CHUNK).sortWithinPartitions(
         key, CHUNK, F.col(STATE).isNull(), *order)
     if want_ends:
         kind = {f.name: f.dataType for f in df.schema}

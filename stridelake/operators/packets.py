@@ -90,6 +90,8 @@ def _framing(limit: int):
         for lo, hi, start in runs:
             buffer = start or b""
             for i in range(lo, hi):
+                if payloads[i] is None:
+                    continue
                 found, buffer = feed(buffer, bytes(payloads[i]), limit)
                 frames += [(sensors[i], arrivals[i], n, *frame) for n, frame in enumerate(found)]
             ends.append(buffer)
@@ -106,8 +108,7 @@ def frames(
     messages: DataFrame, arrival: str, limit: int = MAX_BUFFER_BYTES, rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """All frames of every sensor's byte stream, from rows of sensor_id, arrival number and payload."""
-    ordered = messages.filter(F.col("payload").isNotNull()).select(
-        "sensor_id", F.col(arrival).cast("long").alias("arrival"), "payload")
+    ordered = messages.select("sensor_id", F.col(arrival).cast("long").alias("arrival"), "payload")
     return fold_in_order(ordered, "sensor_id", ["arrival"], lambda: _framing(limit), FRAMES, rows)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stridelake.functions.clock import header_seconds
 from stridelake.functions.motion import magnitude
-from stridelake.schemas import AXES, AXIS_FIELDS, GROUPS, SAMPLE_FIELDS
+from stridelake.operators.once import computed_once
+from stridelake.schemas import AXES, AXIS_FIELDS, GROUPS, SAMPLE, SAMPLE_FIELDS
 from stridelake.settings import MICROS_PER_SECOND, SAMPLING_PERIOD_S
 
 
@@ -18,26 +19,27 @@ def _axis(sample: Column, group: str, axis: str) -> Column:
     return F.coalesce(nested, sample[f"{group}_{axis}"])
 
 
-def flat_sample(sample: Column, seconds: Column) -> Column:
-    fields = {f"{group}_{axis}": _axis(sample, group, axis) for group in GROUPS for axis in AXES}
-    fields["accl_mag"] = magnitude(*[fields[f"acc_{axis}"] for axis in AXES])
-    fields["gyro_mag"] = magnitude(*[fields[f"gyro_{axis}"] for axis in AXES])
-    fields["timestamp"] = seconds
-    for name in ("kafka_timestamp", "predicted_velocity"):
-        fields[name] = sample[name]
-    return F.struct(*[fields[name].alias(name) for name in SAMPLE_FIELDS])
+def flat_samples(samples: Column, seconds: Column) -> Column:
+    """Flat forms of the samples that are not null. Magnitudes are a second pass over the flat axes."""
+    def axes(sample: Column) -> Column:
+        return F.struct(
+            *[_axis(sample, group, axis).alias(f"{group}_{axis}") for group in GROUPS for axis in AXES],
+            *[sample[name].alias(name) for name in ("kafka_timestamp", "predicted_velocity")])
 
+    def whole(flat: Column) -> Column:
+        made = {"accl_mag": magnitude(*[flat[f"acc_{a}"] for a in AXES]),
+                "gyro_mag": magnitude(*[flat[f"gyro_{a}"] for a in AXES]), "timestamp": seconds}
+        return F.struct(*[(made[name] if name in made else flat[name]).alias(name) for name in SAMPLE_FIELDS])
 
-def transform_records(records: DataFrame) -> DataFrame:
-    """Flatten every sample and add magnitudes and the packet's time; drop records without a sensor."""
-    present = F.filter("samples", lambda s: s.isNotNull())
-    flat = F.transform(present, lambda s: flat_sample(s, header_seconds(F.col("header_timestamp_us"))))
-    return records.filter(F.col("sensor_id").isNotNull()).withColumn(
-        "samples", F.coalesce(flat, F.array().cast(f"array<{_sample_type()}>")))
+    return F.transform(F.transform(F.filter(samples, lambda s: s.isNotNull()), axes), whole)
 
 
-def _sample_type() -> str:
-    return "struct<" + ",".join(f"{name}:double" for name in SAMPLE_FIELDS) + ">"
+def transform_records(records: DataFrame) -> DataFrame:
+    """Flatten every sample and add magnitudes and the packet's time; drop records without a sensor."""
+    flat = flat_samples(F.col("samples"), header_seconds(F.col("header_timestamp_us")))
+    empty = F.array().cast(T.ArrayType(SAMPLE))
+    named = records.filter(F.col("sensor_id").isNotNull())
+    return computed_once(named, samples=F.coalesce(flat, empty))
 
 
 def nonempty(records: DataFrame) -> DataFrame:

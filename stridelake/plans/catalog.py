@@ -670,8 +670,8 @@ def packet_status_counts(spark, folder):
 # ---- Stored samples and lookups -----------------------------------------------------------------
 
 def stored_samples(spark: SparkSession, folder: str, by_sensor: bool = False) -> DataFrame:
-    """Readings written by date to the shared folder, and read back from there."""
-    r = derive.event_readings(spark, folder)
+    """Readings written to the shared folder, and read back from there: by date, or by date and event type."""
+    r = derive.event_readings(spark, folder, "event_type" if by_sensor else "user_id")
     axes = {name: F.lit(None).cast("double") for name in
             ("acc_y", "acc_z", "gyro_x", "gyro_y", "gyro_z", "mag_x", "mag_y", "mag_z", "accl_mag", "gyro_mag")}
     rows = r.select(
@@ -689,7 +689,7 @@ def daily_partition_counts(spark, folder):
     return lookups.daily_counts(stored_samples(spark, folder))
 
 
-@query("sensor_partition_counts", "SELECT CAST(ts AS DATE) AS dt, CAST(user_id AS VARCHAR) AS sensor_id, count(*) AS \"rows\" FROM events GROUP BY 1, 2")
+@query("sensor_partition_counts", "SELECT CAST(ts AS DATE) AS dt, event_type AS sensor_id, count(*) AS \"rows\" FROM events GROUP BY 1, 2")
 def sensor_partition_counts(spark, folder):
     return stored_samples(spark, folder, by_sensor=True).groupBy("dt", "sensor_id").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stridelake.functions.crc import crc16_arc
-from stridelake.sources.files import table
+from stridelake.operators.once import computed_once
+from stridelake.sources.files import spread, table
 
 
 def micros(ts: str) -> Column:
@@ -40,7 +41,7 @@ def _sample_texts(v: Column, k: Column) -> Column:
 
 def event_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Broker rows with one JSON packet per event, among them every kind of faulty message."""
-    r = event_readings(spark, folder)
+    r = computed_once(spread(event_readings(spark, folder)), k=F.col("k"))
     kind, k = F.col("event_type"), F.col("k")
     v_text, k_text = F.col("predicted_velocity").cast("decimal(18,2)").cast("string"), k.cast("string")
     count = F.floor(k / F.lit(20)).cast("int")
@@ -59,14 +60,14 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when((kind == "click") & (k < 5), F.lit(None).cast("string"))
         .otherwise(packet))
     stamp = F.when((kind == "purchase") & (k >= 95), F.lit(0)).otherwise(F.col("kafka_timestamp"))
-    return r.select(
-        F.col("sensor_id").alias("key"), value.alias("value"), F.lit("imu-data-all").alias("topic"),
-        F.lit(0).alias("partition"), F.col("seq").alias("offset"), F.timestamp_micros(stamp).alias("timestamp"))
+    return computed_once(r, value=value, timestamp=F.timestamp_micros(stamp)).select(
+        F.col("sensor_id").alias("key"), "value", F.lit("imu-data-all").alias("topic"),
+        F.lit(0).alias("partition"), F.col("seq").alias("offset"), "timestamp")
 
 
 def document_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Whole document texts as payloads, none of which is a packet."""
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents")).select(
         F.lit(None).cast("string").alias("key"), F.col("text").alias("value"), F.lit("notes").alias("topic"),
         F.lit(0).alias("partition"), F.col("doc_id").alias("offset"), F.timestamp_millis(F.lit(1)).alias("timestamp"))
 
@@ -111,7 +112,7 @@ def event_packets(spark: SparkSession, folder: str) -> DataFrame:
     Packets hold 0 to 4 samples made from the event. Some come with junk before them, with a wrong
     sum, with fewer sample bytes than declared, with more, or with a payload that is too short.
     """
-    r = event_readings(spark, folder)
+    r = computed_once(spread(event_readings(spark, folder)), k=F.col("k"))
     k, seq = F.col("k"), F.col("seq")
     raw = F.round(F.col("predicted_velocity") * 10).cast("long")
     declared = F.floor(k / F.lit(20)).cast("int")

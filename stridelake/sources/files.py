@@ -12,6 +12,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table of fewer files than cores a task per core, before work that costs much per row.
+
+    Tables of many files stay as they are, so only small inputs are shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def read_samples(spark: SparkSession, path: str, date: str | None = None, plain_folders: bool = False) -> DataFrame:
     """Sample rows, of one date if given. Folders are `dt=yyyy-MM-dd`, or plain `yyyy-MM-dd`."""
     if plain_folders:
