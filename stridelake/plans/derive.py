@@ -117,8 +117,6 @@ def event_packets(spark: SparkSession, folder: str) -> DataFrame:
     raw = F.round(F.col("predicted_velocity") * 10).cast("long")
     declared = F.floor(k / F.lit(20)).cast("int")
     short, extra, tiny = (k >= 20) & (k < 23), (k >= 40) & (k < 43), (k >= 60) & (k < 62)
-    numbers = F.sequence(F.lit(0), F.lit(4))
-
     def sample(j: Column) -> Column:
         return F.concat(
             _hex(raw + j, 4), _hex(-raw, 4), _hex(k, 4),
@@ -127,7 +125,8 @@ def event_packets(spark: SparkSession, folder: str) -> DataFrame:
             _hex(k - 50, 4))
 
     held = declared + F.when(short, -1).when(extra, 1).otherwise(0)
-    samples = F.array_join(F.slice(F.transform(numbers, sample), F.lit(1), held), "")
+    places = F.when(held > 0, F.sequence(F.lit(0), held - 1)).otherwise(F.array().cast("array<int>"))
+    samples = F.array_join(F.transform(places, sample), "")
     payload = F.when(tiny, F.lit("00FF00FF")).otherwise(F.concat(
         _hex_little(seq * 64, 8), _hex_time(F.col("kafka_timestamp")), _hex_little(declared, 4), samples))
     size = F.floor(F.length(payload) / F.lit(2)).cast("long")
@@ -137,11 +136,11 @@ def event_packets(spark: SparkSession, folder: str) -> DataFrame:
     junk = F.when((k >= 10) & (k < 15), F.lit("7C00FF")).otherwise(F.lit(""))
     whole = F.concat(junk, F.hex("_body"), _hex_little(crc.cast("long"), 4))
     # The first message ends inside the packet, after ten bytes.
-    parts = F.array(
-        F.struct((seq * 2).alias("arrival"), F.substring(whole, 1, 20).alias("text")),
-        F.struct((seq * 2 + 1).alias("arrival"), F.substring(whole, 21, 2_000_000).alias("text")))
-    return summed.select("sensor_id", F.explode(parts).alias("p")).select(
-        "sensor_id", F.col("p.arrival").alias("arrival"), F.unhex("p.text").alias("payload"))
+    halves = summed.withColumn("_whole", whole).select(
+        "sensor_id", "seq", "_whole", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
+    text = F.when(F.col("half") == 0, F.substring("_whole", 1, 20)).otherwise(F.substring("_whole", 21, 2_000_000))
+    return halves.select(
+        "sensor_id", (F.col("seq") * 2 + F.col("half")).alias("arrival"), F.unhex(text).alias("payload"))
 
 
 def session_registry(spark: SparkSession, folder: str) -> DataFrame:
