@@ -125,6 +125,10 @@ class OnnxScorer:
         return (*results, h, c) if not self.stateful else tuple(results)
 
 
+SCORE_FIELDS = (
+    T.StructField("_velocity", T.DoubleType()), T.StructField("_movement", T.DoubleType()),
+    T.StructField("_scored", T.BooleanType()))
+
 _loaded: dict = {}
 
 
@@ -161,11 +165,12 @@ def feature_matrix(rows: pd.DataFrame, columns: Sequence[str]) -> np.ndarray:
     return np.stack(matrix, axis=1) if matrix else np.zeros((len(rows), 0), np.float32)
 
 
-def score_runs(scorer: Scorer, rows: pd.DataFrame, runs: list) -> tuple[np.ndarray, np.ndarray, list]:
-    """Velocities, movement probabilities and end states of many sequences."""
+def score_runs(scorer: Scorer, rows: pd.DataFrame, runs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """Velocities, movement probabilities, which rows got them, and end states of many sequences."""
     features = feature_matrix(rows, scorer.params.feature_cols)
     velocity = np.full(len(rows), np.nan)
     movement = np.full(len(rows), np.nan)
+    scored = np.zeros(len(rows), bool)
     starts = [unpack_state(state, scorer) for _, _, state in runs]
     lengths = np.array([hi - lo for lo, hi, _ in runs])
     if hasattr(scorer, "score_side_by_side"):
@@ -182,18 +187,18 @@ def score_runs(scorer: Scorer, rows: pd.DataFrame, runs: list) -> tuple[np.ndarr
             v, m, h, c = scorer.score_side_by_side(x, h, c, lengths[batch])
             for b, i in enumerate(batch):
                 lo, hi, _ = runs[i]
-                velocity[lo:hi], movement[lo:hi] = v[b, :hi - lo], m[b, :hi - lo]
+                velocity[lo:hi], movement[lo:hi], scored[lo:hi] = v[b, :hi - lo], m[b, :hi - lo], True
                 ends[i] = pack_state(h[:, b:b + 1], c[:, b:b + 1])
-        return velocity, movement, ends
+        return velocity, movement, scored, ends
     ends = []
     for (lo, hi, state), (h, c) in zip(runs, starts):
         if hi > lo:
             v, m, h, c = scorer.score(features[None, lo:hi], h, c)
             # Outputs of another length are not assigned, but the state moves on.
             if len(v) and np.shape(v)[1] == hi - lo and len(m) and np.shape(m)[1] == hi - lo:
-                velocity[lo:hi], movement[lo:hi] = v[0], m[0]
+                velocity[lo:hi], movement[lo:hi], scored[lo:hi] = v[0], m[0], True
         ends.append(pack_state(h, c) if scorer.stateful else None)
-    return velocity, movement, ends
+    return velocity, movement, scored, ends
 
 
 def _like_lengths(by_length: list[int], lengths: np.ndarray):
@@ -218,14 +223,13 @@ def score_samples(
     """
     inputs = samples.drop("predicted_velocity")
     names = inputs.columns
-    schema = T.StructType([
-        *inputs.schema.fields, T.StructField("_velocity", T.DoubleType()), T.StructField("_movement", T.DoubleType())])
+    schema = T.StructType([*inputs.schema.fields, *SCORE_FIELDS])
 
     def make_step():
         scorer = make_scorer()
         def step(batch, runs):
-            velocity, movement, ends = score_runs(scorer, batch, runs)
-            return batch[names].assign(_velocity=velocity, _movement=movement), ends
+            velocity, movement, scored, ends = score_runs(scorer, batch, runs)
+            return batch[names].assign(_velocity=velocity, _movement=movement, _scored=scored), ends
         return step
 
     scored = fold_in_order(inputs, key, order, make_step, schema, rows)
@@ -233,8 +237,10 @@ def score_samples(
 
 
 def with_masked_velocity(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("predicted_velocity", masked_velocity(F.col("_velocity"), F.col("_movement"))).drop(
-        "_velocity", "_movement")
+    """pandas hands a NaN back as null, so a scored row's null is a NaN of the model."""
+    velocity, movement = [F.coalesce(c, F.lit(float("nan"))) for c in ("_velocity", "_movement")]
+    masked = F.when(F.col("_scored"), masked_velocity(velocity, movement))
+    return scored.withColumn("predicted_velocity", masked).drop("_velocity", "_movement", "_scored")
 
 
 def linear_score(features: dict[str, float], bias: float = 0.0) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,6 +15,7 @@ from stridelake.plans import derive, lookups
 from stridelake.session import new_folder
 from stridelake.sources import files
 from stridelake.sources.files import table
+from stridelake.streaming import jobs, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -393,6 +393,43 @@ def delivery_total(spark, folder):
     return aggregates.delivery_in_total(derive.event_readings(spark, folder), target=70)
 
 
+# ---- The same on a stream -------------------------------------------------------------------------
+
+def finished(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def streamed_sessions(spark: SparkSession, folder: str) -> str:
+    """Read the events as a stream, assign sessions with keyed state, and store them; gives the folder."""
+    schema = table(spark, folder, "events").schema
+    events = files.stream_files(spark, folder, schema, pattern="events.parquet")
+    found = keyed.sessions_and_scores(derive.readings_of(events).drop("k"), ["seq"], GAP_US)
+    path = new_folder(spark, "sessions")
+    finished(found.writeStream.format("parquet").option("path", f"{path}/rows").option(
+        "checkpointLocation", f"{path}/state").trigger(availableNow=True).start())
+    return f"{path}/rows"
+
+
+@query("stream_session_ids", ORACLES["session_ids"])
+def stream_session_ids(spark, folder):
+    return spark.read.parquet(streamed_sessions(spark, folder)).select(
+        "seq", "sensor_id", "kafka_timestamp", "session_id_part", "sensor_session_id", "is_new_session")
+
+
+@query("stream_session_totals", ORACLES["session_final_aggregate"])
+def stream_session_totals(spark, folder):
+    rows = streamed_sessions(spark, folder)
+    stream = files.stream_files(spark, rows, spark.read.parquet(rows).schema)
+    path = new_folder(spark, "totals")
+    finished(jobs.start_totals(stream, f"{path}/state", {"availableNow": True}, jobs.into_folder(f"{path}/rows")))
+    # Every trigger writes the sessions it changed; the last write of a session has its totals.
+    newest = spark.read.parquet(f"{path}/rows").groupBy("sensor_session_id").agg(F.max_by(
+        F.struct("sensor_id", "session_max_velocity", "session_total_distance"), "batch").alias("t"))
+    return rounded(newest.select("sensor_session_id", "t.*"), "session_total_distance")
+
+
 # ---- Windows of messages and samples ------------------------------------------------------------
 
 LISTS = TYPES + """,

@@ -15,7 +15,10 @@ def micros(ts: str) -> Column:
 
 def event_readings(spark: SparkSession, folder: str, sensor: str = "user_id") -> DataFrame:
     """One scored reading per event; the event number is the arrival number."""
-    events = table(spark, folder, "events")
+    return readings_of(table(spark, folder, "events"), sensor)
+
+
+def readings_of(events: DataFrame, sensor: str = "user_id") -> DataFrame:
     return events.select(
         F.col("event_id").alias("seq"), F.col(sensor).cast("string").alias("sensor_id"),
         micros("ts").alias("kafka_timestamp"), F.col("value").alias("predicted_velocity"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stridelake.operators.packets import FRAMES, feed, frame_rows
-from stridelake.operators.scoring import Scorer, score_runs, with_masked_velocity
+from stridelake.operators.scoring import SCORE_FIELDS, Scorer, score_runs, with_masked_velocity
 from stridelake.settings import MAX_BUFFER_BYTES, SESSION_GAP_US
 
 MOTION_STATE = T.StructType([
@@ -57,7 +57,7 @@ def sessions_and_scores(
     added = [T.StructField("session_id_part", T.LongType()), T.StructField("sensor_session_id", T.StringType()),
              T.StructField("is_new_session", T.BooleanType())]
     if make_scorer:
-        added += [T.StructField("_velocity", T.DoubleType()), T.StructField("_movement", T.DoubleType())]
+        added += SCORE_FIELDS
     schema = T.StructType([*inputs.schema.fields, *added])
 
     def on_sensor(sensor: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -73,13 +73,14 @@ def sessions_and_scores(
         ids[timed] = [f"{sensor[0]}_{s}" for s in starts]
         out = rows[names].assign(session_id_part=id_part, sensor_session_id=ids, is_new_session=is_new)
         if make_scorer:
-            velocity, movement = np.full(len(rows), np.nan), np.full(len(rows), np.nan)
+            velocity, movement, done = np.full(len(rows), np.nan), np.full(len(rows), np.nan), np.zeros(len(rows), bool)
             has_sample = rows["pos"].notna().to_numpy() if "pos" in rows else np.ones(len(rows), bool)
             if has_sample.any():
-                scored = rows.loc[has_sample].reset_index(drop=True)
-                found, moves, ends = score_runs(make_scorer(), scored, [(0, len(scored), model)])
-                velocity[has_sample], movement[has_sample], model = found, moves, ends[0]
-            out = out.assign(_velocity=velocity, _movement=movement)
+                samples_in = rows.loc[has_sample].reset_index(drop=True)
+                found, moves, scored, ends = score_runs(make_scorer(), samples_in, [(0, len(samples_in), model)])
+                velocity[has_sample], movement[has_sample], done[has_sample] = found, moves, scored
+                model = ends[0]
+            out = out.assign(_velocity=velocity, _movement=movement, _scored=done)
         state.update((last, part, model))
         yield out
 

@@ -17,7 +17,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, con, name):
-    same, note = compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name])
+    df = entry.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    same, note = compare(df, con, entry.oracle_sql()[name])
     assert same, note
 
 

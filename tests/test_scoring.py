@@ -77,13 +77,13 @@ def test_stateless_model_and_wrong_lengths():
     free = OnnxScorer(lstm_model(LSTM, stateful=False), PARAMS)
     assert not free.stateful and OnnxScorer(lstm_model(LSTM), PARAMS).stateful
     rows = pd.DataFrame({"accl_mag": [1.0, 2.0, 3.0], "gyro_mag": [0.5, None, 1.0]})
-    velocity, movement, ends = score_runs(free, rows, [(0, 3, None)])
+    velocity, movement, scored, ends = score_runs(free, rows, [(0, 3, None)])
     zero = np.zeros(PARAMS.state_shape)
     expected = LSTM.score(scoring.feature_matrix(rows, PARAMS.feature_cols)[None], zero, zero)
     assert np.allclose(velocity, expected[0][0], atol=1e-5) and ends == [None]
     cut = OnnxScorer(lstm_model(LSTM, cut=True), PARAMS)
-    velocity, movement, ends = score_runs(cut, rows, [(0, 3, None)])
-    assert np.isnan(velocity).all() and np.isnan(movement).all()
+    velocity, movement, scored, ends = score_runs(cut, rows, [(0, 3, None)])
+    assert not scored.any() and np.isnan(velocity).all() and np.isnan(movement).all()
     assert np.allclose(np.frombuffer(ends[0], np.float32)[:4], expected[2].ravel(), atol=1e-5)
 
 
@@ -91,7 +91,7 @@ def test_side_by_side_equals_alone():
     rng = np.random.default_rng(1)
     rows = pd.DataFrame({"accl_mag": rng.random(40), "gyro_mag": rng.random(40)})
     runs = [(0, 3, None), (3, 20, None), (20, 20, b""), (20, 21, None), (21, 40, None)]
-    velocity, movement, ends = score_runs(EXACT, rows, runs)
+    velocity, movement, scored, ends = score_runs(EXACT, rows, runs)
     for (lo, hi, _), end in zip(runs, ends):
         if hi > lo:
             zero = np.zeros(PARAMS.state_shape)
@@ -105,6 +105,18 @@ def test_unknown_features_are_zero():
     assert matrix.dtype == np.float32 and matrix.tolist() == [[0.0, 1.0], [0.0, 0.0]]
 
 
+def test_nan_of_a_model_is_not_null(spark):
+    class Broken:
+        params, stateful, state_dtype = ModelParams(hidden_dim=4), False, np.dtype("float32")
+
+        def score(self, features, h, c):
+            out = np.full(features.shape[:2], np.nan, np.float32)
+            return out, np.ones_like(out), h, c
+
+    got = score_samples(frame(spark, samples(9)), Broken, ["seq"])
+    assert got.filter("isnan(predicted_velocity)").count() == 9
+
+
 def test_mask_and_linear(spark):
     df = spark.createDataFrame([(0.49, 3.0), (0.5, 3.0)], "p double, v double")
     from stridelake.functions.motion import masked_velocity

@@ -108,6 +108,13 @@ def test_row_numbers_and_previous_values(spark, rows):
         s: (seqs[i - 1] * 2 if i else None) for seqs in by_key.values() for i, s in enumerate(seqs)}
 
 
+def test_last_rows_with_a_large_limit(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "a" if i % 4 else "b") for i in range(80)], "seq long, sensor_id string")
+    want = sorted(r.seq for r in sequence.last_rows(df, "sensor_id", ["seq"], 7).collect())
+    monkeypatch.setattr(sequence, "EARLY_LIMIT", 5)
+    assert sorted(r.seq for r in sequence.last_rows(df, "sensor_id", ["seq"], 7).collect()) == want
+
+
 @pytest.mark.parametrize("rows", [3, 8, 10_000])
 def test_message_windows(spark, rows):
     rng = random.Random(2)
