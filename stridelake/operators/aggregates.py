@@ -47,11 +47,14 @@ def running_session_totals(
     """Totals of the session so far, beside every row that has a session.
 
     Only the session open at the start of a chunk has an earlier part, so a chunk needs one carried
-    row: that session and its totals in the chunks before.
+    row: that session and its totals in the chunks before. Sessions assigned with `keep_chunk` are
+    partitioned as needed; others are shuffled once.
     """
     part = "session_id_part"
-    timed = with_chunk(sessions.filter(F.col(part).isNotNull()), arrival, rows).withColumns({
+    timed = sessions.filter(F.col(part).isNotNull()).withColumns({
         "_speed": _speed_for_max(velocity), "_step": F.abs(velocity)})
+    placed = timed if CHUNK in sessions.columns else with_chunk(timed, arrival, rows).repartition(key, CHUNK)
+    timed = timed if CHUNK in sessions.columns else with_chunk(timed, arrival, rows)
     pieces = timed.groupBy(key, CHUNK, part).agg(
         F.max("_speed").alias("_piece_max"), F.sum("_step").alias("_piece_path"),
         F.min(arrival).alias("_from"), F.max(arrival).alias("_to"))
@@ -63,7 +66,7 @@ def running_session_totals(
         .agg(F.min_by(F.struct(F.col(part).alias("part"), "_carry_max", "_carry_path"), "_from").alias("_head"))
     )
     frame = so_far(W.partitionBy(key, CHUNK, part).orderBy(arrival))
-    near = timed.withColumns({"_max": F.max("_speed").over(frame), "_path": F.sum("_step").over(frame)})
+    near = placed.withColumns({"_max": F.max("_speed").over(frame), "_path": F.sum("_step").over(frame)})
     joined = join_carry(near, carry, key)
     earlier = F.col("_head.part") == F.col(part)
     top = F.greatest("_max", F.when(earlier, F.col("_head._carry_max")))

@@ -13,12 +13,13 @@ from stridelake.settings import CHUNK_ROWS, SESSION_GAP_US
 
 def assign_sessions(
     df: DataFrame, arrival: str, gap_us: int = SESSION_GAP_US, rows: int = CHUNK_ROWS,
-    key: str = "sensor_id", ts: str = "kafka_timestamp",
+    key: str = "sensor_id", ts: str = "kafka_timestamp", keep_chunk: bool = False,
 ) -> DataFrame:
     """Add session_id_part, sensor_session_id and is_new_session, in arrival order.
 
     A session starts at a sensor's first row, and wherever the time is more than the gap after the
-    row before. Rows without a time get the id "" and do not count.
+    row before. Rows without a time get the id "" and do not count. With `keep_chunk`, the chunk
+    column stays, so that running totals can go on with the same partitioning.
     """
     timed = with_chunk(df.filter(F.col(ts).isNotNull()), arrival, rows)
 
@@ -50,9 +51,11 @@ def assign_sessions(
         found.withColumn("session_id_part", F.coalesce("_start", "_head_start"))
         .withColumn("sensor_session_id", session_id(F.col(key), F.col("session_id_part")))
         .withColumn("is_new_session", F.coalesce("_opens", "_head_opens"))
-        .drop("_prev", "_opens", "_start", "_head_opens", "_head_start", CHUNK)
+        .drop("_prev", "_opens", "_start", "_head_opens", "_head_start")
     )
-    untimed = df.filter(F.col(ts).isNull()).withColumns({
+    if not keep_chunk:
+        out = out.drop(CHUNK)
+    untimed = (with_chunk(df, arrival, rows) if keep_chunk else df).filter(F.col(ts).isNull()).withColumns({
         "session_id_part": F.lit(None).cast("long"), "sensor_session_id": F.lit(""),
         "is_new_session": F.lit(False),
     })

@@ -354,7 +354,8 @@ def session_final_aggregate(spark, folder):
  max(v) OVER w AS session_max_velocity, round(sum(abs(v)) OVER w * 0.005, 6) AS session_total_distance FROM sess
  WINDOW w AS (PARTITION BY sensor_id, part ORDER BY seq ROWS UNBOUNDED PRECEDING)""")
 def session_running_aggregate(spark, folder):
-    totals = aggregates.running_session_totals(user_sessions(spark, folder), "seq")
+    placed = sessions.assign_sessions(derive.event_readings(spark, folder), "seq", GAP_US, keep_chunk=True)
+    totals = aggregates.running_session_totals(placed, "seq")
     return rounded(totals, "session_total_distance").select(
         "seq", "sensor_session_id", "session_max_velocity", "session_total_distance")
 

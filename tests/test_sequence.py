@@ -71,6 +71,9 @@ def test_running_and_final_totals(spark, rows):
     found = assign_sessions(spark.createDataFrame(data, SCHEMA), "seq", GAP, rows)
     running = aggregates.running_session_totals(found, "seq", rows=rows).collect()
     assert {r.seq: (r.session_max_velocity, round(r.session_total_distance, 9)) for r in running} == want
+    placed = assign_sessions(spark.createDataFrame(data, SCHEMA), "seq", GAP, rows, keep_chunk=True)
+    running = aggregates.running_session_totals(placed, "seq", rows=rows).collect()
+    assert {r.seq: (r.session_max_velocity, round(r.session_total_distance, 9)) for r in running} == want
     final = aggregates.session_totals(found.filter("sensor_session_id <> ''")).collect()
     assert {r.sensor_session_id: (r.session_max_velocity, round(r.session_total_distance, 9)) for r in final} == {
         s: (top[s], round(path[s], 9)) for s in top}
