@@ -23,7 +23,8 @@ def text_to_millis(text: Column) -> Column:
 
 
 def seconds_to_timestamp(seconds: Column) -> Column:
-    return F.timestamp_micros((seconds * MICROS_PER_SECOND).cast("long"))
+    """To the nearest microsecond, as a double in seconds may lie just under it."""
+    return F.timestamp_micros(F.rint(seconds * MICROS_PER_SECOND).cast("long"))
 
 
 def header_seconds(header_us: Column) -> Column:

@@ -19,7 +19,7 @@ CHUNK = "_chunk"
 
 
 def with_chunk(df: DataFrame, arrival: str, rows: int = CHUNK_ROWS) -> DataFrame:
-    return df.withColumn(CHUNK, F.floor(F.col(arrival) / F.lit(rows)).cast("long"))
+    return df.withColumn(CHUNK, F.expr(f"cast(`{arrival}` as bigint) div {rows}"))
 
 
 def in_chunk(key: str, *order: str) -> W:

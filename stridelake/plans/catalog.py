@@ -750,9 +750,7 @@ def sensor_day_first_rows(spark, folder):
 @query("sensor_series", f"""WITH {SENS} SELECT kafka_timestamp AS micros, v AS predicted_velocity, CAST(k AS DOUBLE) AS acc_x FROM sens WHERE sensor_id = '8'""")
 def sensor_series(spark, folder):
     series = lookups.sensor_series(stored_samples(spark, folder), "8")
-    # The stored time is a double in seconds, which holds a microsecond but not more.
-    micros = F.round(F.unix_micros("datetime")).cast("long")
-    return series.select(micros.alias("micros"), "predicted_velocity", "acc_x")
+    return series.select(F.unix_micros("datetime").alias("micros"), "predicted_velocity", "acc_x")
 
 
 # ---- Registry -----------------------------------------------------------------------------------
