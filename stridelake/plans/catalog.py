@@ -102,11 +102,11 @@ def payload_gate(spark, folder):
 
 
 @query("byte_payload_gate", f"""WITH {GATED}
- SELECT seq AS "offset", CASE WHEN event_type = 'signup' AND k < 10 THEN 5 END AS short_length FROM gated""")
+ SELECT seq AS "offset", CASE WHEN event_type = 'signup' AND k < 10 THEN 6 END AS short_length FROM gated""")
 def byte_payload_gate(spark, folder):
     raw = derive.event_messages(spark, folder).withColumn("value", F.col("value").cast("binary"))
     text = ingest.decode_bytes(raw)
-    return text.select("offset", F.when(F.length("value") < 10, F.length("value") - 1).alias("short_length"))
+    return text.select("offset", F.when(F.length("value") < 10, F.length("value")).alias("short_length"))
 
 
 @query("json_parse", f"""WITH {GATED} SELECT seq AS "offset", sensor_id, header_timestamp_us,
@@ -131,15 +131,14 @@ def json_quarantine_counts(spark, folder):
 
 
 @query("quarantined_payloads", f"""WITH {GATED}
- SELECT 'imu-data-all' AS topic, seq AS "offset", 5 AS payload_length
+ SELECT 'imu-data-all' AS topic, seq AS "offset", 6 AS payload_length
  FROM gated WHERE event_type = 'signup' AND k < 10
  UNION ALL SELECT 'notes', doc_id, length(text) FROM documents
  WHERE text <> '' AND NOT (json_valid(text) AND left(trim(text), 1) = '{{')""")
 def quarantined_payloads(spark, folder):
     every = derive.event_messages(spark, folder).unionByName(derive.document_messages(spark, folder))
     bad = ingest.quarantine(ingest.parse(ingest.gate(every)))
-    length = F.when(F.col("topic") == "notes", F.length("payload")).otherwise(F.length(F.rtrim("payload")))
-    return bad.select("topic", "offset", length.alias("payload_length"))
+    return bad.select("topic", "offset", F.length("payload").alias("payload_length"))
 
 
 @query("kafka_timestamp_us", f"WITH {GATED} SELECT seq AS \"offset\", kafka_timestamp FROM rec")
