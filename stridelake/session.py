@@ -27,16 +27,21 @@ def build_session(app: str = "stridelake", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach. A local one is made only for a local master."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    """The folder every executor can reach. A local one is made only for a local master, once per application."""
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="stridelake-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+        raise ValueError(
+            f"set {CHECKPOINT_SETTING}, when the session is built, to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="stridelake-")
+    return _local_folders[app]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
