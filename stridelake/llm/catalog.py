@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import licenses, url_filter, warc
+from stridelake.llm import exact_dedup, licenses, simhash, url_filter, warc
 from stridelake.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,16 @@ FROM n LEFT JOIN (SELECT * FROM m WHERE place = 1) USING (row)""")
 def op5_url_filter(spark, folder):
     rules = url_filter.rule_table(spark, url_filter.SAMPLE_RULES)
     return url_filter.judge(table(spark, folder, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op7_exact_dedup", r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+ g AS (SELECT *, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""")
+def op7_exact_dedup(spark, folder):
+    return exact_dedup.deduplicate(spark, f"{folder}/documents.parquet")
+
+
+@query("op9_simhash")
+def op9_simhash(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))

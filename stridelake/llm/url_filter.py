@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stridelake.llm import bloom
 from stridelake.llm.names import free_name
 
 SAMPLE_RULES = [
@@ -19,11 +20,6 @@ SAMPLE_RULES = [
     ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 RULE_SCHEMA = "verdict string, host string, path string"
-WORDS = 8
-WORD_BITS = 32
-BITS_PER_KEY = 16
-# Bounds the filter at 65,536 blocks of 9 longs, under 5 MB; with more keys than fit, more false hits reach the join.
-MAX_BLOCKS = 65_536
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,33 +40,6 @@ def labels_of(host: Column) -> Column:
     return F.size(F.split(host, r"\."))
 
 
-def block_of(host: Column, path: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(host, path), F.lit(blocks))
-
-
-def bits_of(host: Column, path: Column) -> list[Column]:
-    """The bit that a key sets in each word of its block."""
-    mixed = F.xxhash64(path, F.lit(7), host)
-    return [F.shiftrightunsigned(mixed, 5 * i).bitwiseAND(F.lit(WORD_BITS - 1)).cast("int") for i in range(WORDS)]
-
-
-def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
-    """The filter of the keys in columns host and path: a row for each block that is not empty."""
-    host, path = F.col("host"), F.col("path")
-    bit = [F.call_function("shiftleft", F.lit(1).cast("long"), b) for b in bits_of(host, path)]
-    return keys.groupBy(block_of(host, path, blocks).alias("block")).agg(
-        *[F.bit_or(b).alias(f"word{i}") for i, b in enumerate(bit)])
-
-
-def possible_hits(candidates: DataFrame, filter_blocks: DataFrame, blocks: int) -> DataFrame:
-    """The candidates whose key may be listed; no listed key is lost."""
-    host, path = F.col("key_host"), F.col("key_path")
-    probe = candidates.withColumn("block", block_of(host, path, blocks)).join(F.broadcast(filter_blocks), "block")
-    for i, b in enumerate(bits_of(host, path)):
-        probe = probe.filter(F.call_function("shiftright", F.col(f"word{i}"), b).bitwiseAND(F.lit(1)) == 1)
-    return probe.drop("block", *[f"word{i}" for i in range(WORDS)])
-
-
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str = "url", key: str = "page_id") -> DataFrame:
     """Every row with host, path, rule and verdict; URLs that no rule fits get the default verdict.
 
@@ -81,7 +50,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
         F.max("verdict").alias("verdict"))
     shapes = [(r.labels, r.chars) for r in listed.select(
         labels_of(F.col("host")).alias("labels"), F.length("path").alias("chars")).distinct().collect()]
-    blocks = min(MAX_BLOCKS, max(1, listed.count() * BITS_PER_KEY // (WORDS * WORD_BITS)))
+    blocks = bloom.block_count(listed.count())
+    known = listed.select(F.col("host").alias("key_host"), F.col("path").alias("key_path"), "verdict")
+    key_names = ["key_host", "key_path"]
     row_key, row_url = free_name(pages, "row_key"), free_name(pages, "row_url")
     urls = pages.select(F.col(key).alias(row_key), F.col(url).alias(row_url)).withColumns({
         "host": url_host(F.col(row_url)), "path": url_path(F.col(row_url))}).filter(F.col("host") != "")
@@ -90,10 +61,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
         F.substring(F.col("path"), 1, chars).alias("key_path")) for labels, chars in sorted(shapes)]
     candidates = urls.select(row_key, row_url, F.explode(F.array_distinct(F.array(*keys))).alias("k")).select(
         row_key, row_url, "k.*") if keys else urls.select(row_key, row_url, F.lit("").alias("key_host"), F.lit("").alias("key_path"))
-    hits = possible_hits(candidates, bloom_blocks(listed, blocks), blocks)
-    exact = hits.join(
-        listed.select(F.col("host").alias("key_host"), F.col("path").alias("key_path"), "verdict"),
-        ["key_host", "key_path"])
+    hits = bloom.possible_hits(candidates, key_names, bloom.bloom_blocks(known, key_names, blocks), blocks)
+    exact = hits.join(known, key_names)
     rule = F.concat("key_host", "key_path")
     best = exact.groupBy(row_key, row_url).agg(F.max_by(
         F.struct(rule.alias("rule"), F.col("verdict")),
