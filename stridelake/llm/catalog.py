@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stridelake.llm import exact_dedup, licenses, simhash, url_filter, warc
+from stridelake.llm import exact_dedup, licenses, simhash, token_files, url_filter, warc
 from stridelake.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op7_exact_dedup(spark, folder):
 @query("op9_simhash")
 def op9_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op10_token_files")
+def op10_token_files(spark, folder):
+    return token_files.encode_and_read(table(spark, folder, "documents"))
