@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stridelake.llm import exact_dedup, licenses, simhash, token_files, url_filter, warc
+from stridelake.llm import decontaminate, exact_dedup, licenses, simhash, token_files, url_filter, warc
 from stridelake.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,13 @@ def op9_simhash(spark, folder):
 @query("op10_token_files")
 def op10_token_files(spark, folder):
     return token_files.encode_and_read(table(spark, folder, "documents"))
+
+
+@query("op6_decontaminate")
+def op6_decontaminate(spark, folder):
+    found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"), slop=2)
+    hit = found.withColumn("n_hit", decontaminate.hit_words())
+    return hit.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        decontaminate.joined_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near"))
