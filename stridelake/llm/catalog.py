@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stridelake.llm import decontaminate, exact_dedup, licenses, simhash, token_files, url_filter, warc
+from stridelake.llm import decontaminate, exact_dedup, licenses, quality, simhash, token_files, url_filter, warc
 from stridelake.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,11 @@ def op6_decontaminate(spark, folder):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         decontaminate.joined_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
         F.size("near_items").cast("long").alias("n_near"))
+
+
+@query("op3_quality")
+def op3_quality(spark, folder):
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    found = quality.score(documents, quality.train(documents, labels), keep=["doc_id"])
+    return found.select(
+        "doc_id", quality.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
