@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from stridelake.llm.names import free_name
 from stridelake.llm.packed import LOWER, WORD_BYTES, buffers, slices
@@ -181,7 +181,8 @@ def examples(documents: DataFrame, labels: DataFrame, key: str, text: str, label
                     block.column("key"), block.column("label"), pa.ListArray.from_arrays(bounds, pa.array(term, pa.int32())),
                     pa.ListArray.from_arrays(bounds, pa.array(count, pa.int32()))], ["key", "label", "terms", "counts"])
 
-    schema = StructType([rows.schema["key"], rows.schema["label"]]).add("terms", "array<int>").add("counts", "array<int>")
+    schema = StructType([rows.schema["key"], rows.schema["label"]]).add(
+        "terms", ArrayType(IntegerType())).add("counts", ArrayType(IntegerType()))
     return rows.mapInArrow(counted, schema)
 
 
