@@ -21,8 +21,11 @@ from pyspark.sql.streaming import StreamingQuery
 from stridelake.llm import bloom
 from stridelake.session import new_folder
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; without space set aside for each of many small stores.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 LOCATOR = ["file", "row"]
 
 
@@ -65,13 +68,15 @@ def keep_state(spark: SparkSession, folder: str, files_per_trigger: int | None =
     def stored(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{folder}/changes/batch={batch}")
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKS)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         return groups.writeStream.outputMode("update").foreachBatch(stored).option(
             "checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def finished(query: StreamingQuery) -> None:
