@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stridelake.llm import decontaminate, exact_dedup, licenses, quality, simhash, token_files, url_filter, warc
+from stridelake.llm import decontaminate, exact_dedup, licenses, quality, repeats, simhash, token_files, url_filter, warc
 from stridelake.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op3_quality(spark, folder):
     found = quality.score(documents, quality.train(documents, labels), keep=["doc_id"])
     return found.select(
         "doc_id", quality.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_repeats")
+def op4_repeats(spark, folder):
+    return repeats.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
