@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stridelake.llm import decontaminate, exact_dedup, licenses, quality, repeats, simhash, token_files, url_filter, warc
+from stridelake.llm import decontaminate, exact_dedup, licenses, mixing, quality, repeats, simhash, token_files, url_filter, warc
 from stridelake.sources.files import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,40 @@ def op3_quality(spark, folder):
 def op4_repeats(spark, folder):
     return repeats.remove_repeats(table(spark, folder, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op8_mixing", r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source,
+                            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens FROM documents),
+ s AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS source_tokens, sum(tokens) / (SELECT CAST(sum(tokens) AS DOUBLE) FROM d) AS share
+       FROM d GROUP BY source),
+ l AS (SELECT list(share) FILTER (share > 0) AS p FROM s),
+ b(n, low, step) AS (
+   SELECT 0, CAST(0 AS BIGINT), CAST(1 AS BIGINT) << 40
+   UNION ALL
+   SELECT n + 1, CASE WHEN ln(z) - a * lz / z >= 0.95 * ln(len(p)) THEN low + step // 2 ELSE low END, step // 2
+   FROM (SELECT *, list_sum(list_transform(p, lambda x: x ** a)) AS z, list_sum(list_transform(p, lambda x: x ** a * ln(x))) AS lz
+         FROM (SELECT b.*, l.p, (low + step // 2) / CAST(CAST(1 AS BIGINT) << 40 AS DOUBLE) AS a FROM b, l WHERE step > 1))),
+ e AS (SELECT low / CAST(CAST(1 AS BIGINT) << 40 AS DOUBLE) AS a FROM b WHERE step = 1),
+ w AS (SELECT s.*, CASE WHEN share > 0 THEN share ** a / list_sum(list_transform(p, lambda x: x ** a)) ELSE 0 END AS weight FROM s, e, l),
+ q AS (SELECT *, CAST(floor(weight * (SELECT sum(tokens) FROM d)) AS BIGINT) AS quota,
+              CAST(ceil(greatest(source_tokens, 1) / 65536) AS BIGINT) AS blocks FROM w),
+ r AS (SELECT *, quota // greatest(source_tokens, 1) AS epochs,
+              greatest(quota - (quota // greatest(source_tokens, 1)) * source_tokens, 0) AS rest FROM q),
+ k AS (SELECT d.*, r.weight, r.epochs, r.rest, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % blocks AS block
+       FROM d JOIN r USING (source)),
+ z AS (SELECT source, block, epochs, rest, sum(tokens) AS size FROM k GROUP BY ALL),
+ o AS (SELECT *, rest - coalesce(sum(size) OVER (PARTITION BY source
+         ORDER BY CAST('0x' || substr(md5('1|' || epochs || '|' || source || '|' || block), 1, 8) AS BIGINT), block
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over FROM z),
+ t AS (SELECT k.*, o.left_over, o.size, sum(tokens) OVER (PARTITION BY source, block
+         ORDER BY CAST('0x' || substr(md5('1|' || doc_id), 1, 8) AS BIGINT), doc_id, tokens) AS reach
+       FROM k JOIN o USING (source, block))
+SELECT doc_id, source, tokens AS n_tokens, round(weight, 9) AS weight, block,
+       epochs + CASE WHEN left_over > 0 AND (left_over >= size OR reach <= left_over) THEN 1 ELSE 0 END AS copies FROM t""")
+def op8_mixing(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(documents, mixing.Target(entropy_share=0.95))
+    return mixed.select(
+        "doc_id", F.coalesce("source", F.lit("")).alias("source"), F.col("mix_tokens").alias("n_tokens"),
+        F.round("mix_weight", 9).alias("weight"), F.col("mix_block").alias("block"), F.col("mix_copies").alias("copies"))
