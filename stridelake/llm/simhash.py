@@ -16,6 +16,7 @@ larger than all others.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -31,7 +32,8 @@ from stridelake.llm.packed import LOWER, raw_texts, slices
 SEED = 42
 SLICE_BYTES = 4 << 20
 BLOCK = 2048
-TILE_BITS = 16
+# Words of a longer fingerprint that are compared for all pairs of a tile; the rest only if these are near enough.
+DENSE = 4
 TILE_BASE = 64
 # Each bit of a byte in a byte of its own.
 SPREAD = np.array([sum((b >> i & 1) << 8 * i for i in range(8)) for b in range(256)], np.uint64)
@@ -53,7 +55,7 @@ def mixed(hashes: np.ndarray, part: int) -> np.ndarray:
     """The hashes themselves for part 0, else further 64 bits of each."""
     if not part:
         return hashes
-    h = hashes + MIX[0] * np.uint64(part)
+    h = hashes + np.uint64(int(MIX[0]) * part & (1 << 64) - 1)
     h = (h ^ (h >> np.uint64(30))) * MIX[1]
     h = (h ^ (h >> np.uint64(27))) * MIX[2]
     return h ^ (h >> np.uint64(31))
@@ -128,9 +130,12 @@ def forest(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarr
     for at in range(0, len(a), step):
         rows = a[at:at + step]
         near = np.bitwise_count(rows[:, None, 0] ^ b[None, :, 0])
-        for part in range(1, a.shape[1]):
-            near = near.astype(np.uint16) + np.bitwise_count(rows[:, None, part] ^ b[None, :, part])
+        for part in range(1, min(DENSE, a.shape[1])):  # a wrapped sum only makes a pair look nearer
+            near += np.bitwise_count(rows[:, None, part] ^ b[None, :, part])
         i, j = np.nonzero(near <= radius)
+        if a.shape[1] > 1:
+            exact = np.bitwise_count(rows[i] ^ b[j]).sum(axis=1, dtype=np.int64) <= radius
+            i, j = i[exact], j[exact]
         if not len(i):
             continue
         cuts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
@@ -190,6 +195,33 @@ def grouped(prints: DataFrame, links: DataFrame, node: str = "node") -> DataFram
     return prints.join(found, prints[node] == found["_node"], "left").drop("_node")
 
 
+def wide_radius(similarity: float, parts: int, margin: float = 1.8) -> int:
+    """Bits in which fingerprints of sets with this Jaccard similarity differ, with a margin in standard deviations."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = 64 * parts
+    return math.ceil(bits * share + margin * math.sqrt(bits * share * (1 - share)))
+
+
+def similar_groups(documents: DataFrame, key: str, text: str = "text", shingle: int = 5, similarity: float = 0.8,
+                   parts: int = 8) -> DataFrame:
+    """Every row (columns id and component_id) with the smallest key of the texts that similar ones lead to.
+
+    Similarity is that of the sets of word shingles, estimated from fingerprints of 64 times `parts` bits. Tiles are
+    also kept apart by the number of shingles, as similar sets have similar sizes. Texts of so few shingles that one
+    more or less is too many are grouped only if their fingerprints are equal.
+    """
+    radius = wide_radius(similarity, parts)
+    prints = stored(fingerprints(documents, key, text, shingle, parts).withColumn("node", F.xxhash64("parts", "size")), "fingerprints")
+    width = radius + 1
+    ones = F.aggregate("parts", F.lit(0), lambda total, part: total + F.bit_count(part))
+    size_class = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(similarity)))
+    one_off = math.ceil((1 + similarity) / (1 - similarity))
+    nodes = prints.filter(F.col("size") >= one_off).groupBy("node").agg(F.first("parts").alias("parts"), F.first("size").alias("size")).select(
+        "node", "parts", (size_class * TILE_BASE + F.floor(ones / width)).cast("long").alias("tile"))
+    steps = [0, 1, TILE_BASE - 1, TILE_BASE, TILE_BASE + 1]
+    return grouped(prints, tile_links(nodes, steps, radius, parts)).select("id", "component_id")
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
                     radius: int = 3) -> DataFrame:
     """Every row with its 64-bit fingerprint and the smallest id of its component."""
