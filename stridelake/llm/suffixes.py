@@ -87,10 +87,11 @@ def later_windows(passages: list[bytes], windows: np.ndarray, rank: np.ndarray,
     Passage i has windows at its first windows[i] places. A window is earlier if its passage has the smaller rank,
     or is the same passage and the place is smaller.
     """
-    text = np.frombuffer(b"".join(p + bytes([SEPARATOR]) for p in passages), np.uint8)
+    # The two bytes at the end make sure of a last suffix that is smaller than its successor.
+    text = np.frombuffer(b"".join([*(p + bytes([SEPARATOR]) for p in passages), bytes([0, SEPARATOR])]), np.uint8)
     sizes = np.array([len(p) + 1 for p in passages], np.int64)
     base = np.cumsum(sizes) - sizes
-    # A window is followed, at latest at the end of its passage, by a suffix that is smaller than its successor.
+    # What is induced needs its successors, up to one that is sorted directly.
     small = np.flatnonzero(smaller_than_next(text))
     stop = small[np.minimum(np.searchsorted(small, base + windows - 1), len(small) - 1)]
     mark = np.zeros(len(text) + 1, np.int64)
