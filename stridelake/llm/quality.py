@@ -94,8 +94,9 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         word *= np.uint64(0xBF58476D1CE4E5B9)
         owner = np.searchsorted(offsets, start, side="right") - 1
         keys.append(owner * TERMS + SHAPE_TERMS + 2 + (word >> np.uint64(40)).astype(np.int64) % WORD_TERMS)
-        again = (word[1:] == word[:-1]) & (owner[1:] == owner[:-1])
-        keys.append(owner[1:] * TERMS + SHAPE_TERMS + np.where(again, 0, 1))
+        pair = owner[1:] == owner[:-1]
+        again = np.where(word[1:] == word[:-1], 0, 1)
+        keys.append((owner[1:] * TERMS + SHAPE_TERMS + again)[pair])
     found, count = np.unique(np.concatenate(keys), return_counts=True)
     return found // TERMS, found % TERMS, count
 
