@@ -98,13 +98,13 @@ def over_last_rows(
     return done.filter(F.col("_block") == F.col("_home")).drop("_home", "_block")
 
 
-# Up to this many rows per key, Spark cuts each input partition to the limit before the shuffle.
-EARLY_LIMIT = 1000
+# Up to this many rows per key, Spark cuts each input partition to the limit before the shuffle; -1 switches that off.
+EARLY_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def last_rows(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
     """The last n rows of each key."""
-    if n > EARLY_LIMIT:
+    if n > int(df.sparkSession.conf.get(EARLY_LIMIT, "1000")):
         numbered = with_row_number(df, key, order, "_n", total="_of")
         return numbered.filter(F.col("_n") > F.col("_of") - n).drop("_n", "_of")
     newest = W.partitionBy(key).orderBy(*[F.desc(c) for c in order])

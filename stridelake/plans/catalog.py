@@ -401,35 +401,42 @@ def finished(query) -> None:
         raise query.exception()
 
 
-def streamed_sessions(spark: SparkSession, folder: str) -> str:
-    """Read the events as a stream, assign sessions with keyed state, and store them; gives the folder."""
-    schema = table(spark, folder, "events").schema
-    events = files.stream_files(spark, folder, schema, pattern="events.parquet")
-    found = keyed.sessions_and_scores(derive.readings_of(events).drop("k"), ["seq"], GAP_US)
+def streamed_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Read the events as a stream, assign sessions and totals with keyed state, and store what comes."""
+    events = files.stream_table(spark, folder, "events")
+    found = keyed.sessions_and_scores(derive.readings_of(events).drop("k"), ["seq"], GAP_US, totals=True)
     path = new_folder(spark, "sessions")
-    finished(found.writeStream.format("parquet").option("path", f"{path}/rows").option(
+    finished(found.writeStream.foreachBatch(jobs.into_folder(f"{path}/rows")).option(
         "checkpointLocation", f"{path}/state").trigger(availableNow=True).start())
-    return f"{path}/rows"
+    return spark.read.parquet(f"{path}/rows")
 
 
 @query("stream_session_ids", ORACLES["session_ids"])
 def stream_session_ids(spark, folder):
-    return spark.read.parquet(streamed_sessions(spark, folder)).select(
+    return streamed_sessions(spark, folder).filter(F.col("kind") == keyed.SAMPLE_ROW).select(
         "seq", "sensor_id", "kafka_timestamp", "session_id_part", "sensor_session_id", "is_new_session")
 
 
 @query("stream_session_totals", ORACLES["session_final_aggregate"])
 def stream_session_totals(spark, folder):
-    rows = streamed_sessions(spark, folder)
-    stream = files.stream_files(spark, rows, spark.read.parquet(rows).schema)
-    path = new_folder(spark, "totals")
-    finished(jobs.start_totals(stream, f"{path}/state", {"availableNow": True}, jobs.into_folder(f"{path}/rows")))
+    rows = streamed_sessions(spark, folder).filter(F.col("kind") == keyed.TOTAL_ROW)
     # Every trigger writes the sessions it changed; the last write of a session has its totals.
-    newest = spark.read.parquet(f"{path}/rows").groupBy("sensor_session_id").agg(F.max_by(
+    newest = rows.groupBy("sensor_session_id").agg(F.max_by(
         F.struct("sensor_id", "session_max_velocity", "session_total_distance"), "batch").alias("t"))
     return rounded(newest.select("sensor_session_id", "t.*"), "session_total_distance")
 
 
+@query("stream_quarantine", f"""WITH {GATED}
+ SELECT 'imu-data-all' AS topic, seq AS "offset", 6 AS payload_length
+ FROM gated WHERE event_type = 'signup' AND k < 10""")
+def stream_quarantine(spark, folder):
+    path = new_folder(spark, "quarantine")
+    events = files.stream_table(spark, folder, "events")
+    finished(jobs.start_quarantine(
+        derive.messages_of(derive.readings_of(events)), f"{path}/state", {"availableNow": True}, jobs.into_folder(f"{path}/rows")))
+    return spark.read.parquet(f"{path}/rows").select("topic", "offset", F.length("payload").alias("payload_length"))
+
+
 # ---- Windows of messages and samples ------------------------------------------------------------
 
 LISTS = TYPES + """,

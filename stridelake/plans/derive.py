@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stridelake.functions.crc import crc16_arc
 from stridelake.operators.once import computed_once
-from stridelake.sources.files import spread, table
+from stridelake.sources.files import table
 
 
 def micros(ts: str) -> Column:
@@ -44,7 +44,11 @@ def _sample_texts(v: Column, k: Column) -> Column:
 
 def event_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Broker rows with one JSON packet per event, among them every kind of faulty message."""
-    r = computed_once(spread(event_readings(spark, folder)), k=F.col("k"))
+    return messages_of(event_readings(spark, folder))
+
+
+def messages_of(readings: DataFrame) -> DataFrame:
+    r = computed_once(readings, k=F.col("k"))
     kind, k = F.col("event_type"), F.col("k")
     v_text, k_text = F.col("predicted_velocity").cast("decimal(18,2)").cast("string"), k.cast("string")
     count = F.floor(k / F.lit(20)).cast("int")
@@ -70,7 +74,7 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Whole document texts as payloads, none of which is a packet."""
-    return spread(table(spark, folder, "documents")).select(
+    return table(spark, folder, "documents").select(
         F.lit(None).cast("string").alias("key"), F.col("text").alias("value"), F.lit("notes").alias("topic"),
         F.lit(0).alias("partition"), F.col("doc_id").alias("offset"), F.timestamp_millis(F.lit(1)).alias("timestamp"))
 
@@ -115,7 +119,7 @@ def event_packets(spark: SparkSession, folder: str) -> DataFrame:
     Packets hold 0 to 4 samples made from the event. Some come with junk before them, with a wrong
     sum, with fewer sample bytes than declared, with more, or with a payload that is too short.
     """
-    r = computed_once(spread(event_readings(spark, folder)), k=F.col("k"))
+    r = computed_once(event_readings(spark, folder), k=F.col("k"))
     k, seq = F.col("k"), F.col("seq")
     raw = F.round(F.col("predicted_velocity") * 10).cast("long")
     declared = F.floor(k / F.lit(20)).cast("int")
@@ -141,7 +145,7 @@ def event_packets(spark: SparkSession, folder: str) -> DataFrame:
     # The first message ends inside the packet, after ten bytes.
     halves = summed.withColumn("_whole", whole).select(
         "sensor_id", "seq", "_whole", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
-    text = F.when(F.col("half") == 0, F.substring("_whole", 1, 20)).otherwise(F.substring("_whole", 21, 2_000_000))
+    text = F.when(F.col("half") == 0, F.substring("_whole", 1, 20)).otherwise(F.substr("_whole", F.lit(21)))
     return halves.select(
         "sensor_id", (F.col("seq") * 2 + F.col("half")).alias("arrival"), F.unhex(text).alias("payload"))
 

@@ -12,15 +12,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a table of fewer files than cores a task per core, before work that costs much per row.
-
-    Tables of many files stay as they are, so only small inputs are shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def read_samples(spark: SparkSession, path: str, date: str | None = None, plain_folders: bool = False) -> DataFrame:
     """Sample rows, of one date if given. Folders are `dt=yyyy-MM-dd`, or plain `yyyy-MM-dd`."""
     if plain_folders:
@@ -59,11 +50,20 @@ def stream_samples(samples: DataFrame, path: str, checkpoint: str, trigger: dict
     )
 
 
-def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", pattern: str | None = None,
+def file_or_folder(path: str) -> str:
+    """A pattern for exactly this path: the stream reader takes a single file only as a pattern."""
+    return f"{path[:-1]}[{path[-1]}]"
+
+
+def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
+    """A table as a stream of its files, be it a single file or a folder of them."""
+    path = f"{folder}/{name}.parquet"
+    return stream_files(spark, file_or_folder(path), spark.read.parquet(path).schema, files_per_trigger=files_per_trigger)
+
+
+def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                  files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)

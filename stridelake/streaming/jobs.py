@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stridelake.operators import aggregates, ingest, outputs, sessions, transform
+from stridelake.operators import ingest, outputs, sessions, transform
 from stridelake.operators.registry import ID
 from stridelake.schemas import AXIS_FIELDS
 from stridelake.settings import JobOptions
 from stridelake.sources import files, kafka
-from stridelake.streaming.keyed import sessions_and_scores
+from stridelake.streaming.keyed import SAMPLE_ROW, TOTAL_ROW, sessions_and_scores
 
 Writer = Callable[[DataFrame, int], None]
 SAMPLE_COLUMNS = AXIS_FIELDS + ("accl_mag", "gyro_mag", "predicted_velocity")
@@ -26,15 +26,25 @@ def watermarked(messages: DataFrame, delay: str) -> DataFrame:
 def sample_rows(messages: DataFrame) -> DataFrame:
     """One row per sample, and one row with a null `pos` for a record without samples."""
     records = transform.transform_records(ingest.input_records(messages))
-    rows = records.select(
-        "sensor_id", "header_timestamp_us", "kafka_timestamp", "offset", F.posexplode_outer("samples").alias("pos", "s"))
+    record = ["sensor_id", "header_timestamp_us", "kafka_timestamp", "partition", "offset"]
+    rows = records.select(*record, F.posexplode_outer("samples").alias("pos", "s"))
     return rows.select(
-        "sensor_id", "header_timestamp_us", "kafka_timestamp", "offset", "pos",
+        *record, "pos",
         *[F.col(f"s.{c}").alias(c) for c in SAMPLE_COLUMNS])
 
 
 def motion_rows(messages: DataFrame, options: JobOptions, make_scorer=None) -> DataFrame:
-    return sessions_and_scores(sample_rows(messages), ["offset", "pos"], options.session_gap_us, make_scorer)
+    """Samples with sessions and velocities, and the totals of sessions, told apart by `kind`."""
+    return sessions_and_scores(
+        sample_rows(messages), ["partition", "offset", "pos"], options.session_gap_us, make_scorer, totals=True)
+
+
+def session_totals_so_far(rows: DataFrame) -> DataFrame:
+    """The totals that a trigger brought, stamped now."""
+    return rows.filter(F.col("kind") == TOTAL_ROW).select(
+        "sensor_session_id", "sensor_id", "session_max_velocity",
+        F.coalesce("session_total_distance", F.lit(float("nan"))).alias("session_total_distance"),
+        F.unix_millis(F.current_timestamp()).alias("aggregation_timestamp_ms"))
 
 
 def new_session_rows(rows: DataFrame) -> DataFrame:
@@ -56,7 +66,7 @@ def record_rows(rows: DataFrame) -> DataFrame:
         (F.col("header_timestamp_us") / 1e6).alias("timestamp"), "predicted_velocity").alias("s"))
     return (
         rows.filter(F.col("pos").isNotNull())
-        .groupBy("sensor_id", "offset", "header_timestamp_us", "kafka_timestamp", "sensor_session_id")
+        .groupBy("sensor_id", "partition", "offset", "header_timestamp_us", "kafka_timestamp", "sensor_session_id")
         .agg(F.array_sort(F.collect_list(sample)).alias("_all"))
         .withColumn("samples", F.transform("_all", lambda m: m["s"])).drop("_all")
     )
@@ -74,60 +84,60 @@ def into_topic(topic: str, options: JobOptions) -> Writer:
 
 
 def start_motion(
-    messages: DataFrame, options: JobOptions, checkpoint: str, trigger: dict, records: Writer | None = None,
-    new_sessions: Writer | None = None, flat: Writer | None = None, scored: Writer | None = None, make_scorer=None,
-) -> StreamingQuery:
-    """Sessions and scores with up to four outputs: record documents, new-session documents, flat samples
-    for storage, and scored rows for the aggregate query. The batch is kept while they are written."""
+    messages: DataFrame, options: JobOptions, checkpoint: str, trigger: dict, *, quarantine: Writer | None,
+    records: Writer | None = None, new_sessions: Writer | None = None, flat: Writer | None = None,
+    totals: Writer | None = None, registry: Writer | None = None, make_scorer=None,
+) -> list[StreamingQuery]:
+    """Sessions and scores with up to five outputs, and a query of their own for payloads that cannot be read.
+
+    Outputs are record documents, new-session documents, flat samples for storage, session totals, and the
+    registry's changes. The batch is kept while they are written. `quarantine` must be given; None drops what
+    cannot be read.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if scored:
-                scored(batch, batch_id)
+            samples = batch.filter(F.col("kind") == SAMPLE_ROW)
             if flat:
-                flat(files.with_date(flat_rows(batch)), batch_id)
+                flat(files.with_date(flat_rows(samples)), batch_id)
             if records:
-                records(outputs.record_json(record_rows(batch)), batch_id)
+                records(outputs.record_json(record_rows(samples)), batch_id)
+            if registry:
+                registry(new_session_rows(samples), batch_id)
             if new_sessions:
-                new_sessions(outputs.new_session_json(new_session_rows(batch)), batch_id)
+                new_sessions(outputs.new_session_json(new_session_rows(samples)), batch_id)
+            if totals:
+                totals(outputs.aggregate_json(session_totals_so_far(batch)), batch_id)
         finally:
             batch.unpersist()
 
-    return (
+    motion = (
         motion_rows(messages, options, make_scorer).writeStream.outputMode("append").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
+    return [motion, *([start_quarantine(messages, f"{checkpoint}-quarantine", trigger, quarantine)] if quarantine else [])]
 
 
-def start_totals(scored: DataFrame, checkpoint: str, trigger: dict, write: Writer) -> StreamingQuery:
-    """Every trigger, the totals so far of the sessions that got new velocities."""
-    totals = aggregates.session_totals(scored.filter(F.col("sensor_session_id") != ""))
-    stamped = totals.withColumn("aggregation_timestamp_ms", F.unix_millis(F.current_timestamp()))
-    return (
-        stamped.writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+def start_quarantine(messages: DataFrame, checkpoint: str, trigger: dict, write: Writer) -> StreamingQuery:
+    """Payloads that pass the gate and are no JSON record, with where they came from."""
+    bad = ingest.quarantine(ingest.parse(ingest.gate(messages)))
+    return bad.writeStream.outputMode("append").foreachBatch(write).option(
+        "checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def start_all(spark: SparkSession, options: JobOptions, folder: str, make_scorer=None) -> list[StreamingQuery]:
-    """The whole job on Kafka; topics and the Parquet path that are not set are left out."""
+    """The whole job on Kafka; topics and the Parquet path that are not set are left out.
+
+    Payloads that cannot be read, and changes of the session registry, go to folders below `folder`.
+    """
     messages = watermarked(kafka.read_topic(spark, options), options.max_out_of_orderness)
     topic = lambda name: into_topic(name, options) if name else None
-    scored_path = f"{folder}/scored"
-    motion = start_motion(
+    return start_motion(
         messages, options, f"{folder}/checkpoints/motion", {"processingTime": options.record_trigger},
-        topic(options.output_topic), topic(options.session_topic),
-        into_folder(options.parquet_path, "dt") if options.parquet_path else None,
-        into_folder(scored_path), make_scorer)
-    queries = [motion]
-    if options.aggregate_topic:
-        schema = "sensor_id string, sensor_session_id string, predicted_velocity double"
-        rows = files.stream_files(spark, f"{scored_path}/*", schema)
-        send = into_topic(options.aggregate_topic, options)
-        queries.append(start_totals(
-            rows, f"{folder}/checkpoints/totals", {"processingTime": options.aggregate_trigger},
-            lambda batch, batch_id: send(outputs.aggregate_json(batch), batch_id)))
-    return queries
+        quarantine=into_folder(f"{folder}/quarantine"), records=topic(options.output_topic),
+        new_sessions=topic(options.session_topic), totals=topic(options.aggregate_topic),
+        flat=into_folder(options.parquet_path, "dt") if options.parquet_path else None,
+        registry=session_changes(f"{folder}/registry"), make_scorer=make_scorer)
 
 
 def session_changes(path: str) -> Writer:

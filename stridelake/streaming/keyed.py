@@ -15,18 +15,30 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stridelake.operators.packets import FRAMES, feed, frame_rows
 from stridelake.operators.scoring import SCORE_FIELDS, Scorer, score_runs, with_masked_velocity
-from stridelake.settings import MAX_BUFFER_BYTES, SESSION_GAP_US
+from stridelake.settings import MAX_BUFFER_BYTES, MOVEMENT_THRESHOLD, SAMPLING_PERIOD_S, SESSION_GAP_US
 
 MOTION_STATE = T.StructType([
     T.StructField("last_us", T.LongType()),
     T.StructField("part", T.LongType()),
     T.StructField("model", T.BinaryType()),
+    T.StructField("top", T.DoubleType()),
+    T.StructField("path", T.DoubleType()),
 ])
+SAMPLE_ROW, TOTAL_ROW = "sample", "total"
+TOTAL_FIELDS = [
+    T.StructField("kind", T.StringType()), T.StructField("session_max_velocity", T.DoubleType()),
+    T.StructField("session_total_distance", T.DoubleType())]
+_EMPTY = {T.LongType: "Int64", T.IntegerType: "Int32", T.DoubleType: "Float64", T.BooleanType: "boolean"}
 BUFFER_STATE = T.StructType([T.StructField("buffer", T.BinaryType())])
 
 
-def _in_order(parts: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    return pd.concat(list(parts), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+def _in_order(parts: Iterator[pd.DataFrame], order: Sequence[str], ts: str | None = None) -> pd.DataFrame:
+    """The rows in arrival order. Rows of several partitions are merged by time; each keeps its own order."""
+    rows = pd.concat(list(parts), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+    if ts and order[0] == "partition" and rows["partition"].nunique() > 1:
+        reached = rows.groupby("partition")[ts].cummax().groupby(rows["partition"]).ffill()
+        rows = rows.loc[reached.sort_values(kind="stable", na_position="first").index].reset_index(drop=True)
+    return rows
 
 
 def session_starts(
@@ -43,14 +55,39 @@ def session_starts(
     return starts, opens, int(times[-1]), int(starts[-1])
 
 
+def masked(velocity: np.ndarray, movement: np.ndarray) -> np.ndarray:
+    """0 where the movement is not probable enough; as the column form does, a NaN there keeps the velocity."""
+    return np.where(movement < MOVEMENT_THRESHOLD, 0.0, velocity)
+
+
+def session_parts(
+    velocity: np.ndarray, starts: np.ndarray, part: int | None, top: float | None, path: float | None,
+) -> list[tuple[int, float, float]]:
+    """Start, highest velocity and path so far of every session that has velocities here, in order.
+
+    `part`, `top` and `path` are the session that was open before and its totals.
+    """
+    found = []
+    edges = np.flatnonzero(np.r_[True, starts[1:] != starts[:-1]]) if len(starts) else np.zeros(0, int)
+    for lo, hi in zip(edges, np.r_[edges[1:], len(starts)]):
+        speed = velocity[lo:hi]
+        high, far = (top, path) if starts[lo] == part and top is not None else (-np.inf, 0.0)
+        found.append((int(starts[lo]), float(np.fmax(high, np.fmax.reduce(speed))), float(far + np.abs(speed).sum())))
+        part, top, path = found[-1]
+    return found
+
+
 def sessions_and_scores(
     samples: DataFrame, order: Sequence[str], gap_us: int = SESSION_GAP_US,
     make_scorer: Callable[[], Scorer] | None = None, key: str = "sensor_id", ts: str = "kafka_timestamp",
+    totals: bool = False, period_s: float = SAMPLING_PERIOD_S,
 ) -> DataFrame:
     """Add session columns, and predicted_velocity if there is a scorer, with one shuffle for both.
 
     Rows are samples; a record without samples may be one row with a null `pos`, which takes part in
-    the sessions but is not scored.
+    the sessions but is not scored. With `totals`, the state also holds the totals of a sensor's open
+    session, and rows of kind "total" follow the samples: every session that got velocities in this
+    trigger, with its totals so far.
     """
     inputs = samples.drop("predicted_velocity") if make_scorer else samples
     names = inputs.columns
@@ -58,11 +95,16 @@ def sessions_and_scores(
              T.StructField("is_new_session", T.BooleanType())]
     if make_scorer:
         added += SCORE_FIELDS
+    if totals:
+        added += TOTAL_FIELDS
     schema = T.StructType([*inputs.schema.fields, *added])
 
     def on_sensor(sensor: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, part, model = state.get if state.exists else (None, None, None)
-        rows = _in_order(parts, order)
+        last, part, model, top, path = state.get if state.exists else (None,) * 5
+        open_part = part
+        if top is not None and path is None:  # the state hands a NaN back as null
+            path = np.nan
+        rows = _in_order(parts, order, ts)
         timed = rows[ts].notna().to_numpy()
         starts, opens, last, part = session_starts(rows.loc[timed, ts].to_numpy(np.int64), last, part, gap_us)
         id_part = pd.Series([pd.NA] * len(rows), dtype="Int64")
@@ -81,8 +123,33 @@ def sessions_and_scores(
                 velocity[has_sample], movement[has_sample], done[has_sample] = found, moves, scored
                 model = ends[0]
             out = out.assign(_velocity=velocity, _movement=movement, _scored=done)
-        state.update((last, part, model))
-        yield out
+        if not totals:
+            state.update((last, part, model, None, None))
+            yield out
+            return
+        if make_scorer:
+            speed = np.where(done, masked(velocity, movement), np.nan)
+            has_speed = done & timed
+        else:
+            speed = rows["predicted_velocity"].to_numpy(float, na_value=np.nan)
+            has_speed = rows["predicted_velocity"].notna().to_numpy() & timed
+        found = session_parts(speed[has_speed], id_part[has_speed].to_numpy(np.int64), open_part, top, path)
+        if found and found[-1][0] == part:
+            top, path = found[-1][1:]
+        elif part != open_part:
+            top = path = None
+        state.update((last, part, model, top, path))
+        yield out.assign(kind=SAMPLE_ROW, session_max_velocity=np.nan, session_total_distance=np.nan)
+        if found:
+            ends = pd.DataFrame({
+                key: [sensor[0]] * len(found), "session_id_part": pd.array([s for s, _, _ in found], "Int64"),
+                "sensor_session_id": [f"{sensor[0]}_{s}" for s, _, _ in found], "kind": TOTAL_ROW,
+                "session_max_velocity": [t for _, t, _ in found], "session_total_distance": [p * period_s for _, _, p in found]})
+            whole = ends.reindex(columns=schema.names)
+            for field in schema.fields:  # empty columns of the samples' types
+                if field.name not in ends.columns:
+                    whole[field.name] = pd.Series([None] * len(ends), dtype=_EMPTY.get(type(field.dataType), object))
+            yield whole
 
     found = inputs.groupBy(key).applyInPandasWithState(
         on_sensor, schema, MOTION_STATE, "append", GroupStateTimeout.NoTimeout)

@@ -111,11 +111,15 @@ def test_row_numbers_and_previous_values(spark, rows):
         s: (seqs[i - 1] * 2 if i else None) for seqs in by_key.values() for i, s in enumerate(seqs)}
 
 
-def test_last_rows_with_a_large_limit(spark, monkeypatch):
+def test_last_rows_with_a_large_limit(spark):
     df = spark.createDataFrame([(i, "a" if i % 4 else "b") for i in range(80)], "seq long, sensor_id string")
     want = sorted(r.seq for r in sequence.last_rows(df, "sensor_id", ["seq"], 7).collect())
-    monkeypatch.setattr(sequence, "EARLY_LIMIT", 5)
-    assert sorted(r.seq for r in sequence.last_rows(df, "sensor_id", ["seq"], 7).collect()) == want
+    before = spark.conf.get(sequence.EARLY_LIMIT, None)
+    spark.conf.set(sequence.EARLY_LIMIT, "5")
+    try:
+        assert sorted(r.seq for r in sequence.last_rows(df, "sensor_id", ["seq"], 7).collect()) == want
+    finally:
+        spark.conf.unset(sequence.EARLY_LIMIT) if before is None else spark.conf.set(sequence.EARLY_LIMIT, before)
 
 
 @pytest.mark.parametrize("rows", [3, 8, 10_000])

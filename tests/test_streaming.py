@@ -50,12 +50,17 @@ def test_motion_job_equals_batch(spark, message_files, tmp_path):
     gap = 6 * 3600 * 1_000_000
     options = JobOptions(session_gap_us=gap)
     lstm = LstmScorer.seeded(ModelParams(hidden_dim=3), dtype="float64")
-    out = {name: f"{tmp_path}/{name}" for name in ("records", "new", "flat", "scored", "totals")}
-    finish(jobs.start_motion(
-        as_stream(spark, message_files), options, f"{tmp_path}/c1", NOW, jobs.into_folder(out["records"]),
-        jobs.into_folder(out["new"]), jobs.into_folder(out["flat"], "dt"), jobs.into_folder(out["scored"]),
-        lambda: lstm))
-    scored = spark.read.parquet(out["scored"])
+    out = {name: f"{tmp_path}/{name}" for name in ("records", "new", "flat", "totals", "bad", "registry")}
+    rows_out = f"{tmp_path}/rows"
+    finish(jobs.motion_rows(as_stream(spark, message_files), options, lambda: lstm).writeStream.foreachBatch(
+        jobs.into_folder(rows_out)).option("checkpointLocation", f"{tmp_path}/c0").trigger(**NOW).start())
+    for started in jobs.start_motion(
+            as_stream(spark, message_files), options, f"{tmp_path}/c1", NOW, quarantine=jobs.into_folder(out["bad"]),
+            records=jobs.into_folder(out["records"]), new_sessions=jobs.into_folder(out["new"]),
+            flat=jobs.into_folder(out["flat"], "dt"), totals=jobs.into_folder(out["totals"]),
+            registry=jobs.session_changes(out["registry"]), make_scorer=lambda: lstm):
+        finish(started)
+    scored = spark.read.parquet(rows_out).filter(F.col("kind") == keyed.SAMPLE_ROW)
     assert scored.select("batch").distinct().count() == 4
 
     batch = jobs.sample_rows(spark.read.parquet(message_files))
@@ -84,14 +89,59 @@ def test_motion_job_equals_batch(spark, message_files, tmp_path):
         "processing_timestamp_ms", "delay_s", "delay_ms"}
     assert spark.read.parquet(out["records"]).count() == transform.nonempty(records_in).count()
 
-    stream = stream_files(spark, f"{out['scored']}/*", scored.drop("batch").schema)
-    finish(jobs.start_totals(stream, f"{tmp_path}/c2", NOW, jobs.into_folder(out["totals"])))
-    totals = spark.read.parquet(out["totals"]).groupBy("sensor_session_id").agg(
-        F.max_by(F.struct("session_max_velocity", F.round("session_total_distance", 9)), "batch").alias("t"))
-    want = aggregates.session_totals(scored)
+    read = spark.read.parquet(out["totals"]).select("batch", F.from_json(
+        "value", "sensor_session_id string, session_max_velocity double, session_total_distance double").alias("v"))
+    totals = read.groupBy("v.sensor_session_id").agg(
+        F.max_by(F.struct("v.session_max_velocity", F.round("v.session_total_distance", 9)), "batch").alias("t"))
+    want = aggregates.session_totals(scored.filter("sensor_session_id <> ''"))
     assert rows(totals.select("sensor_session_id", "t.*")) == rows(want.select(
         "sensor_session_id", "session_max_velocity", F.round("session_total_distance", 9)))
 
+    # Every message that passes the gate is a record or in the quarantine, and the registry has every session.
+    gated = ingest.gate(spark.read.parquet(message_files))
+    bad = ingest.quarantine(ingest.parse(gated))
+    places = ["partition", "offset", "payload"]
+    assert bad.count() > 0 and rows(spark.read.parquet(out["bad"]).select(*places)) == rows(bad.select(*places))
+    assert ingest.good_rows(ingest.parse(gated)).count() + bad.count() == gated.count()
+    registry = jobs.registry_from_changes(spark.read.parquet(out["registry"]))
+    assert registry.count() == expected.filter("is_new_session").count()
+
+
+def totals_of(spark, path):
+    newest = spark.read.parquet(path).filter(F.col("kind") == keyed.TOTAL_ROW).groupBy("sensor_session_id").agg(
+        F.max_by(F.struct("session_max_velocity", F.round("session_total_distance", 9)), "batch").alias("t"))
+    return rows(newest.select("sensor_session_id", "t.*"))
+
+
+def test_totals_stay_when_a_trigger_runs_again(spark, message_files, tmp_path):
+    def run():
+        finish(jobs.motion_rows(as_stream(spark, message_files), JobOptions(), lambda: LstmScorer.seeded(
+            ModelParams(hidden_dim=3), dtype="float64")).writeStream.foreachBatch(
+            jobs.into_folder(f"{tmp_path}/rows")).option("checkpointLocation", f"{tmp_path}/c").trigger(**NOW).start())
+    run()
+    before = totals_of(spark, f"{tmp_path}/rows")
+    last = max(glob.glob(f"{tmp_path}/c/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    os.remove(f"{os.path.dirname(last)}/.{os.path.basename(last)}.crc")
+    os.remove(last)  # as if the job had been lost before it could note the trigger's end
+    run()
+    assert totals_of(spark, f"{tmp_path}/rows") == before and len(before) > 3
+
+
+def test_equal_offsets_of_two_partitions_are_two_records(spark, tmp_path):
+    data = [(p, o, f'{{"sensor_id":"a","header_timestamp_us":{t},"samples":[{{"acc":{{"x":{p + 1}}}}}]}}', t)
+            for p, o, t in [(0, 7, 1_000_000), (1, 7, 2_000_000), (0, 8, 3_000_000), (1, 8, 700_000_000_000)]]
+    messages = spark.createDataFrame(data, "partition int, offset long, value string, t long").select(
+        F.lit("a").alias("key"), "value", F.lit("topic").alias("topic"), "partition", "offset",
+        F.timestamp_micros("t").alias("timestamp"))
+    messages.coalesce(1).write.parquet(f"{tmp_path}/in")
+    for started in jobs.start_motion(
+            as_stream(spark, f"{tmp_path}/in"), JobOptions(), f"{tmp_path}/c", NOW, quarantine=None,
+            records=jobs.into_folder(f"{tmp_path}/records"), new_sessions=jobs.into_folder(f"{tmp_path}/new")):
+        finish(started)
+    assert spark.read.parquet(f"{tmp_path}/records").count() == 4
+    assert {json.loads(r.value)["session_start_timestamp_us"] for r in spark.read.parquet(f"{tmp_path}/new").collect()} == {
+        1_000_000, 700_000_000_000}
+
 
 def test_null_times_on_a_stream(spark, tmp_path):
     data = [("a", 1, 10), ("a", 2, None), ("a", 3, 30), ("b", 4, None), ("a", 5, 1_000_000)]
