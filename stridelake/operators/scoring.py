@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -137,14 +137,14 @@ def onnx_from_files(spark, model_path: str, params_path: str) -> Callable[[], Sc
     for path in (model_path, params_path):
         spark.sparkContext.addFile(path)
     names = model_path.rsplit("/", 1)[-1], params_path.rsplit("/", 1)[-1]
+    return lambda: _load_onnx(names)
 
-    def load() -> Scorer:
-        if names not in _loaded:
-            with open(SparkFiles.get(names[0]), "rb") as model, open(SparkFiles.get(names[1])) as params:
-                _loaded[names] = OnnxScorer(model.read(), ModelParams.from_json(params.read()))
-        return _loaded[names]
 
-    return load
+def _load_onnx(names: tuple[str, str]) -> OnnxScorer:
+    if names not in _loaded:
+        with open(SparkFiles.get(names[0]), "rb") as model, open(SparkFiles.get(names[1])) as params:
+            _loaded[names] = OnnxScorer(model.read(), ModelParams.from_json(params.read()))
+    return _loaded[names]
 
 
 def pack_state(h: np.ndarray, c: np.ndarray) -> bytes:
@@ -213,14 +213,53 @@ def _like_lengths(by_length: list[int], lengths: np.ndarray):
         yield np.array(group)
 
 
+def score_records(
+    samples: DataFrame, make_scorer: Callable[[], Scorer], order: Sequence[str], record: Sequence[str],
+    key: str = "sensor_id",
+) -> DataFrame:
+    """Score every record of a sensor on its own, with a model that keeps no state.
+
+    A record is the samples with equal `record` columns, which a packet bounds. What a model sees does not
+    depend on how rows lie in batches or tasks.
+    """
+    inputs = samples.drop("predicted_velocity")
+    known = [c for c in make_scorer().params.feature_cols]
+    listed = F.array_sort(F.collect_list(F.struct(*order, F.struct(*inputs.columns).alias("_row"))))
+    grouped = inputs.groupBy(key, *record).agg(listed.alias("_rows"))
+    def values(name: str) -> Column:
+        return F.transform("_rows", lambda s: (s["_row"][name] if name in inputs.columns else F.lit(0.0)).cast("double"))
+
+    lists = [values(name) for name in known]
+
+    @F.pandas_udf("velocity array<double>, movement array<double>, scored boolean")
+    def scored_record(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        scorer = make_scorer()
+        for columns in parts:
+            out = []
+            for values in zip(*columns):
+                rows = pd.DataFrame({c: np.asarray(v, float) for c, v in zip(known, values)})
+                velocity, movement, scored, _ = score_runs(scorer, rows, [(0, len(rows), None)])
+                out.append((velocity, movement, bool(scored.all())))
+            yield pd.DataFrame(out, columns=["velocity", "movement", "scored"])
+
+    found = grouped.withColumn("_found", scored_record(*lists))
+    one = F.transform("_rows", lambda s, i: F.struct(
+        s["_row"].alias("row"), F.get(F.col("_found.velocity"), i).alias("_velocity"),
+        F.get(F.col("_found.movement"), i).alias("_movement"), F.col("_found.scored").alias("_scored")))
+    return with_masked_velocity(found.select(F.inline(one)).select("row.*", "_velocity", "_movement", "_scored"))
+
+
 def score_samples(
     samples: DataFrame, make_scorer: Callable[[], Scorer], order: Sequence[str], key: str = "sensor_id",
-    rows: int = CHUNK_ROWS,
+    rows: int = CHUNK_ROWS, record: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add predicted_velocity, masked by the movement probability, to every sample row.
 
-    The state runs along each sensor's samples and is not reset between sessions.
+    The state of a model runs along each sensor's samples and is not reset between sessions. A model without state
+    is given one record at a time: rows with equal `record` columns, by default all of `order` but the last.
     """
+    if not make_scorer().stateful:
+        return score_records(samples, make_scorer, order, record or list(order[:-1]) or list(order), key)
     inputs = samples.drop("predicted_velocity")
     names = inputs.columns
     schema = T.StructType([*inputs.schema.fields, *SCORE_FIELDS])

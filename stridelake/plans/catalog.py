@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stridelake.functions import clock, keys, motion
@@ -562,6 +563,26 @@ def linear_score(spark, folder):
     return rows.select("offset", "pos", F.round(score, 6).alias("velocity"))
 
 
+class PacketMean:
+    """A model without state that looks at a whole sequence: every sample gets the mean of its packet."""
+
+    params, stateful, state_dtype = scoring.ModelParams(hidden_dim=1), False, np.dtype("float32")
+
+    def score(self, features, h, c):
+        mean = np.broadcast_to(features[:, :, 0].mean(axis=1, keepdims=True, dtype=np.float64), features.shape[:2])
+        return mean, np.ones(features.shape[:2]), h, c
+
+
+@query("stateless_score", f"""WITH {SAMPLES}
+ SELECT seq AS "offset", pos, round(avg(CAST(CAST(am AS FLOAT) AS DOUBLE)) OVER (PARTITION BY seq), 3) AS velocity FROM flat
+ WHERE sensor_id IS NOT NULL""")
+def stateless_score(spark, folder):
+    records = transform.transform_records(message_records(spark, folder))
+    rows = records.select("sensor_id", "offset", F.posexplode("samples").alias("pos", "s")).select("sensor_id", "offset", "pos", "s.*")
+    scored = scoring.score_samples(rows, PacketMean, ["offset", "pos"])
+    return scored.select("offset", "pos", F.round("predicted_velocity", 3).alias("velocity"))
+
+
 LSTM = scoring.LstmScorer.seeded(scoring.ModelParams(hidden_dim=2), seed=7, dtype="float64")
 
 

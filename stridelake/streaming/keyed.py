@@ -119,9 +119,15 @@ def sessions_and_scores(
             has_sample = rows["pos"].notna().to_numpy() if "pos" in rows else np.ones(len(rows), bool)
             if has_sample.any():
                 samples_in = rows.loc[has_sample].reset_index(drop=True)
-                found, moves, scored, ends = score_runs(make_scorer(), samples_in, [(0, len(samples_in), model)])
+                scorer = make_scorer()
+                runs = [(0, len(samples_in), model)]
+                if not scorer.stateful and len(order) > 1:  # such a model is given one record at a time
+                    records = samples_in[list(order[:-1])].to_numpy()
+                    cuts = [0, *(np.flatnonzero((records[1:] != records[:-1]).any(axis=1)) + 1).tolist(), len(records)]
+                    runs = [(lo, hi, None) for lo, hi in zip(cuts, cuts[1:])]
+                found, moves, scored, ends = score_runs(scorer, samples_in, runs)
                 velocity[has_sample], movement[has_sample], done[has_sample] = found, moves, scored
-                model = ends[0]
+                model = ends[-1]
             out = out.assign(_velocity=velocity, _movement=movement, _scored=done)
         if not totals:
             state.update((last, part, model, None, None))

@@ -122,3 +122,34 @@ def test_mask_and_linear(spark):
     from stridelake.functions.motion import masked_velocity
     assert [r[0] for r in df.select(masked_velocity(F.col("v"), F.col("p"))).collect()] == [0.0, 3.0]
     assert df.select(scoring.linear_score({"v": 2.0}, 1.0)).first()[0] == 7.0
+
+
+@pytest.mark.parametrize("stateful", [True, False])
+def test_scores_do_not_depend_on_batches_or_chunks(spark, stateful):
+    class WholeSequence:
+        """Every sample gets the sum of all it was shown, so results tell what was cut where."""
+        params, stateful, state_dtype = ModelParams(hidden_dim=4), False, np.dtype("float32")
+
+        def score(self, features, h, c):
+            total = np.broadcast_to(features[:, :, 0].sum(axis=1, keepdims=True), features.shape[:2])
+            return total, np.ones(features.shape[:2]), h, c
+
+    data = spark.range(120).selectExpr(
+        "concat('s', id % 2) AS sensor_id", "id div 12 AS record", "id AS pos", "double(id % 7) AS accl_mag", "double(id % 3) AS gyro_mag")
+    name, found = "spark.sql.execution.arrow.maxRecordsPerBatch", set()
+    before = spark.conf.get(name)
+    try:
+        for batch in (7, 10_000):
+            spark.conf.set(name, str(batch))
+            for rows in (10, 1_000_000):
+                order = ["pos"] if stateful else ["record", "pos"]
+                scored = score_samples(data, (lambda: EXACT) if stateful else WholeSequence, order, rows=rows)
+                found.add(tuple(sorted((r.pos, round(r.predicted_velocity, 9)) for r in scored.collect())))
+    finally:
+        spark.conf.set(name, before)
+    assert len(found) == 1
+    if not stateful:
+        sums = {}
+        for i in range(120):
+            sums[i % 2, i // 12] = sums.get((i % 2, i // 12), 0) + i % 7
+        assert dict(next(iter(found))) == {i: float(sums[i % 2, i // 12]) for i in range(120)}
