@@ -5,7 +5,7 @@ holds one batch and one state per key, never a whole history. A key with more th
 cut into chunks that run side by side. Their start states come from rounds: each chunk runs from
 the end its predecessor had in the round before, until no start changes. That is exact, and it ends
 quickly for steps that forget, such as packet framing or a recurrent model. Keys that are still
-changing after `rounds` rounds are streamed whole, one key after the other.
+changing after `rounds` rounds go on as one run from their first chunk that is not settled.
 """
 
 from __future__ import annotations
@@ -103,6 +103,8 @@ def fold_in_order(
 
     numbered = with_row_number(df, key, order, "_n")
     chunked = numbered.withColumn(CHUNK, F.floor((F.col("_n") - 1) / F.lit(rows)).cast("long")).drop("_n")
+    # Stored once, as every round reads it again.
+    chunked = checkpointed(chunked)
     long_keys = df.groupBy(key).count().filter(F.col("count") > rows).select(key)
 
     def ends_of(part: DataFrame, starts: DataFrame | None) -> DataFrame:
@@ -125,8 +127,8 @@ def fold_in_order(
             again = ends_of(chunked.join(changed, [key, CHUNK], "left_semi"), changed)
             ends = checkpointed(ends.join(again, [key, CHUNK], "left_anti").unionByName(again))
 
-    open_keys = changed.select(key).distinct()
-    settled = chunked.join(open_keys, key, "left_anti")
-    unsettled = df.join(open_keys, key, "left_semi").withColumn(CHUNK, whole)
-    return _run(settled, starts.join(open_keys, key, "left_anti"), make_step, key, order, schema).unionByName(
-        _run(unsettled, None, make_step, key, order, schema))
+    # The start of the first chunk that changed is right, as all before it stayed.
+    first = changed.groupBy(key).agg(F.min(CHUNK).alias("_first"))
+    one_run = chunked.join(first, key, "left").withColumn(CHUNK, F.least(CHUNK, F.coalesce("_first", CHUNK))).drop("_first")
+    known = starts.join(first, key, "left").filter(F.col(CHUNK) <= F.coalesce("_first", CHUNK)).drop("_first")
+    return _run(one_run, known, make_step, key, order, schema)

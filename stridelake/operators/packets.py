@@ -115,14 +115,14 @@ def frames(
 @F.pandas_udf(T.ArrayType(T.ShortType()))
 def raw_values(body: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Ten numbers per sample: acc, gyro and mag axes, and the temperature."""
-    def values(data):
-        if data is None:
-            return None
-        samples = np.frombuffer(bytes(data), dtype=SAMPLE_LAYOUT)
-        parts = [samples["acc"], samples["gyro"], samples["mag"], samples["temp"][:, None]]
-        return np.concatenate([p.astype(np.int16) for p in parts], axis=1).ravel()
     for batch in body:
-        yield batch.map(values)
+        data = [None if b is None else bytes(b) for b in batch]
+        samples = np.frombuffer(b"".join(b for b in data if b), dtype=SAMPLE_LAYOUT)
+        parts = [samples["acc"], samples["gyro"], samples["mag"], samples["temp"][:, None]]
+        numbers = np.concatenate([p.astype(np.int16) for p in parts], axis=1).ravel()
+        ends = np.cumsum([len(b or b"") // SAMPLE_LAYOUT.itemsize * 10 for b in data])
+        yield pd.Series([None if b is None else numbers[e - len(b) // SAMPLE_LAYOUT.itemsize * 10:e]
+                         for b, e in zip(data, ends.tolist())], index=batch.index, dtype=object)
 
 
 def _vector(raw: Column, at: Column, factor: float) -> Column:

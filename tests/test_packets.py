@@ -3,6 +3,7 @@
 import random
 import struct
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -123,3 +124,10 @@ def test_decoding_and_scales(spark):
     assert (first.header_timestamp_us, second.header_timestamp_us) == (500, 5500)
     assert second.acc.x == 2 * (0.488 / 1000)
     assert {r.status: r.frames for r in packets.status_counts(frames(df, "seq")).collect()} == {"ok": 1, "no_samples": 1}
+
+
+def test_sums_of_many_values_are_those_of_each():
+    from stridelake.functions.crc import BLOCK, crc16, crc16_of_all
+    rng = np.random.default_rng(3)
+    values = [rng.bytes(n) for n in [0, 0, 1, 2, 3, 17, 17, 40, 80, 81, BLOCK - 1, BLOCK, BLOCK + 1, 3 * BLOCK, *rng.integers(0, 300, 200)]]
+    assert crc16_of_all(values).tolist() == [crc16(v) for v in values] and len(crc16_of_all([])) == 0
