@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from stridelake.functions.motion import histogram_bin
-from stridelake.operators.sequence import CHUNK, along_chunks, before, in_chunk, join_carry, so_far, with_chunk
+from stridelake.operators.sequence import (
+    CHUNK, along_chunks, before, fits_one_task, in_chunk, join_carry, so_far, with_chunk,
+)
 from stridelake.settings import (
     AGGREGATION_INTERVAL_MS, CHUNK_ROWS, HISTOGRAM_BINS, HISTOGRAM_MAX_VELOCITY, PACKET_INTERVAL_S,
     SAMPLING_PERIOD_S,
@@ -48,9 +50,14 @@ def running_session_totals(
 
     Only the session open at the start of a chunk has an earlier part, so a chunk needs one carried
     row: that session and its totals in the chunks before. Sessions assigned with `keep_chunk` are
-    partitioned as needed; others are shuffled once.
+    partitioned as needed; others are shuffled once. If every sensor fits a task, that is one window.
     """
     part = "session_id_part"
+    if fits_one_task(sessions.filter(F.col(part).isNotNull()), key, rows):
+        frame = so_far(W.partitionBy(key, part).orderBy(arrival))
+        return sessions.filter(F.col(part).isNotNull()).withColumns({
+            "session_max_velocity": F.coalesce(F.max(_speed_for_max(velocity)).over(frame), F.lit(float("-inf"))),
+            "session_total_distance": F.coalesce(F.sum(F.abs(velocity)).over(frame), F.lit(0.0)) * period_s}).drop(CHUNK)
     timed = sessions.filter(F.col(part).isNotNull()).withColumns({
         "_speed": _speed_for_max(velocity), "_step": F.abs(velocity)})
     placed = timed if CHUNK in sessions.columns else with_chunk(timed, arrival, rows).repartition(key, CHUNK)

@@ -22,6 +22,11 @@ def with_chunk(df: DataFrame, arrival: str, rows: int = CHUNK_ROWS) -> DataFrame
     return df.withColumn(CHUNK, F.expr(f"cast(`{arrival}` as bigint) div {rows}"))
 
 
+def fits_one_task(df: DataFrame, key: str, rows: int) -> bool:
+    """Whether no key has more rows than a task may hold. One narrow read, combined before the shuffle."""
+    return (df.groupBy(key).count().agg(F.max("count")).first()[0] or 0) <= rows
+
+
 def in_chunk(key: str, *order: str) -> W:
     return W.partitionBy(key, CHUNK).orderBy(*order)
 

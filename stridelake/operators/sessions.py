@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from stridelake.functions.keys import session_id
 from stridelake.operators.sequence import (
-    CHUNK, along_chunks, before, in_chunk, join_carry, so_far, with_chunk,
+    CHUNK, along_chunks, before, fits_one_task, in_chunk, join_carry, so_far, with_chunk,
 )
 from stridelake.settings import CHUNK_ROWS, SESSION_GAP_US
 
 
+def _sessions_of_whole_keys(df: DataFrame, arrival: str, gap_us: int, key: str, ts: str) -> DataFrame:
+    """Rows without a time are a window partition of their own, so they do not come between the others."""
+    window = W.partitionBy(key, F.col(ts).isNull()).orderBy(arrival)
+    timed = F.col(ts).isNotNull()
+    before_this = F.lag(ts).over(window)
+    opens = timed & (before_this.isNull() | (F.col(ts) - before_this > gap_us))
+    start = F.last(F.when(F.col("is_new_session"), F.col(ts)), ignorenulls=True).over(so_far(window))
+    return df.withColumn("is_new_session", opens).withColumn("session_id_part", start).withColumn(
+        "sensor_session_id", F.when(timed, session_id(F.col(key), F.col("session_id_part"))).otherwise(F.lit(""))).select(
+        *df.columns, "session_id_part", "sensor_session_id", "is_new_session")
+
+
 def assign_sessions(
     df: DataFrame, arrival: str, gap_us: int = SESSION_GAP_US, rows: int = CHUNK_ROWS,
     key: str = "sensor_id", ts: str = "kafka_timestamp", keep_chunk: bool = False,
@@ -20,7 +32,12 @@ def assign_sessions(
     A session starts at a sensor's first row, and wherever the time is more than the gap after the
     row before. Rows without a time get the id "" and do not count. With `keep_chunk`, the chunk
     column stays, so that running totals can go on with the same partitioning.
+
+    If every sensor fits a task, that is one window. Chunks come in only if one does not.
     """
+    if fits_one_task(df, key, rows):
+        whole = _sessions_of_whole_keys(df, arrival, gap_us, key, ts)
+        return whole.withColumn(CHUNK, F.lit(0).cast("long")) if keep_chunk else whole
     timed = with_chunk(df.filter(F.col(ts).isNotNull()), arrival, rows)
 
     def near_starts(frame: DataFrame) -> DataFrame:
