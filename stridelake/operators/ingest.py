@@ -34,16 +34,36 @@ def _outline(schema: T.StructType) -> T.StructType:
         T.StructField(f.name, open_maps if isinstance(f.dataType, T.ArrayType) else f.dataType) for f in schema])
 
 
+def _with_texts(schema: T.StructType) -> T.StructType:
+    """The same record with its whole numbers read as texts."""
+    return T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.LongType) else f.dataType) for f in schema])
+
+
+def whole_number(text: F.Column) -> F.Column:
+    """`"123"` and `12.0` are taken as whole numbers, fractions are cut off; null if it is no number."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint"))
+
+
 def parse(messages: DataFrame, schema: T.StructType = INPUT_RECORD) -> DataFrame:
     """Add `record`, and `_corrupt_record` with the text of a payload that is no such JSON record.
 
     Inside a sample, anything that is not a number is only left out. Spark marks such rows as corrupt
     too, so the marked ones, and only those, are read again with open maps to see if the outline holds.
+    Whole numbers may come as texts or with a fraction; a record is corrupt if one of them is no number.
     """
-    parsed = computed_once(messages, record=_reading(schema))
+    texts = _with_texts(schema)
+    parsed = computed_once(messages, record=_reading(texts))
     marked = F.col(f"record.{CORRUPT}")
-    checked = computed_once(parsed, **{CORRUPT: F.when(marked.isNotNull(), _reading(_outline(schema))[CORRUPT])})
-    return checked.withColumn("record", F.struct(*[F.col(f"record.{f.name}").alias(f.name) for f in schema]))
+    wrong = F.lit(False)
+    for f in schema:
+        if isinstance(f.dataType, T.LongType):
+            wrong = wrong | (F.col(f"record.{f.name}").isNotNull() & whole_number(F.col(f"record.{f.name}")).isNull())
+    unread = F.when(marked.isNotNull(), _reading(_outline(texts))[CORRUPT])
+    checked = computed_once(parsed, **{CORRUPT: F.coalesce(unread, F.when(wrong, F.col("value")))})
+    return checked.withColumn("record", F.struct(*[
+        (whole_number(F.col(f"record.{f.name}")) if isinstance(f.dataType, T.LongType) else F.col(f"record.{f.name}")).alias(f.name)
+        for f in schema]))
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

@@ -180,3 +180,14 @@ def test_plain_date_folders(spark, tmp_path):
     stored(spark).drop("dt").write.parquet(f"{tmp_path}/2024-01-01")
     rows = files.read_samples(spark, str(tmp_path), "2024-01-01", plain_folders=True)
     assert lookups.sensor_on_date(rows, "hot", "2024-01-01").count() == 50
+
+
+def test_whole_numbers_as_texts_and_with_fractions(spark):
+    good = ['{"sensor_id":"a","header_timestamp_us":"123","samples":[]}', '{"sensor_id":"a","header_timestamp_us":12.0,"samples":[]}',
+            '{"sensor_id":"a","header_timestamp_us":1704067200000001,"samples":[]}', '{"sensor_id":"a","header_timestamp_us":null}']
+    bad = ['{"sensor_id":"a","header_timestamp_us":"soon"}', '{"sensor_id":"a","header_timestamp_us":{"t":1}}', '{"sensor_id":"a","header_timestamp_us":true}']
+    messages = spark.createDataFrame([(v,) for v in good + bad], "value string").withColumn("timestamp", F.timestamp_millis(F.lit(1)))
+    parsed = ingest.parse(messages)
+    found = {r.value: r.record.header_timestamp_us for r in ingest.good_rows(parsed).collect()}
+    assert found == dict(zip(good, [123, 12, 1704067200000001, None]))
+    assert sorted(r.payload for r in ingest.quarantine(parsed).collect()) == sorted(bad)
