@@ -32,6 +32,7 @@ from stridelake.llm.packed import LOWER, raw_texts, slices
 SEED = 42
 SLICE_BYTES = 4 << 20
 BLOCK = 2048
+WIDE_BLOCK = 16_384
 # Words of a longer fingerprint that are compared for all pairs of a tile; the rest only if these are near enough.
 DENSE = 4
 TILE_BASE = 64
@@ -147,11 +148,15 @@ def forest(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarr
                 yield -1 - np.repeat(groups[:1], len(groups) - 1), groups[1:]
 
 
-def tile_links(prints: DataFrame, steps: list[int], radius: int, parts: int) -> DataFrame:
-    """Links u, v of distinct fingerprints within the radius. `prints` has node, parts and tile."""
+def tile_links(prints: DataFrame, steps: list[int], radius: int, parts: int, most: int | None = None) -> DataFrame:
+    """Links u, v of distinct fingerprints within the radius. `prints` has node, parts and tile.
+
+    A tile of more than `most` fingerprints is cut into blocks. What is moved falls with the size of blocks.
+    """
+    most = most or BLOCK
     prints = stored(prints.select("node", "parts", "tile"), "prints")
     counts = prints.groupBy("tile").agg(F.count("*").alias("n"))
-    tiles = stored(counts.select("tile", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "tiles")
+    tiles = stored(counts.select("tile", F.ceil(F.col("n") / most).cast("int").alias("blocks")), "tiles")
     block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     blocks = stored(prints.join(tiles, "tile").withColumn("block", block).groupBy("tile", "block").agg(
         F.collect_list(F.struct("node", "parts")).alias("held")), "blocks").select(
@@ -179,8 +184,8 @@ def tile_links(prints: DataFrame, steps: list[int], radius: int, parts: int) ->
             u, v = np.concatenate(us), np.concatenate(vs)
             yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], ["u", "v"])
 
-    # Pairs of blocks are dealt out evenly, whatever tile they come from.
-    return work.repartition(F.xxhash64("nodes_a"), F.xxhash64("nodes_b")).mapInArrow(compared, "u long, v long")
+    # The last join has dealt the pairs out by their second block; a block has a bounded number of rows in any tile.
+    return work.mapInArrow(compared, "u long, v long")
 
 
 def grouped(prints: DataFrame, links: DataFrame, node: str = "node") -> DataFrame:
@@ -219,7 +224,7 @@ def similar_groups(documents: DataFrame, key: str, text: str = "text", shingle:
     nodes = prints.filter(F.col("size") >= one_off).groupBy("node").agg(F.first("parts").alias("parts"), F.first("size").alias("size")).select(
         "node", "parts", (size_class * TILE_BASE + F.floor(ones / width)).cast("long").alias("tile"))
     steps = [0, 1, TILE_BASE - 1, TILE_BASE, TILE_BASE + 1]
-    return grouped(prints, tile_links(nodes, steps, radius, parts)).select("id", "component_id")
+    return grouped(prints, tile_links(nodes, steps, radius, parts, WIDE_BLOCK)).select("id", "component_id")
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
