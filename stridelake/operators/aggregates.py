@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from stridelake.functions.motion import histogram_bin
-from stridelake.operators.sequence import (
-    CHUNK, along_chunks, before, fits_one_task, in_chunk, join_carry, so_far, with_chunk,
-)
+from stridelake.operators.sequence import CHUNK, before, fits_one_task, join_carry, so_far, with_chunk
 from stridelake.settings import (
     AGGREGATION_INTERVAL_MS, CHUNK_ROWS, HISTOGRAM_BINS, HISTOGRAM_MAX_VELOCITY, PACKET_INTERVAL_S,
     SAMPLING_PERIOD_S,

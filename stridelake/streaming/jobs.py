@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stridelake.operators import ingest, outputs, sessions, transform
 from stridelake.operators.registry import ID
 from stridelake.schemas import AXIS_FIELDS
-from stridelake.settings import JobOptions
+from stridelake.settings import MICROS_PER_SECOND, SAMPLING_PERIOD_S, JobOptions
 from stridelake.sources import files, kafka
 from stridelake.streaming.keyed import SAMPLE_ROW, TOTAL_ROW, sessions_and_scores
 
@@ -53,17 +53,17 @@ def new_session_rows(rows: DataFrame) -> DataFrame:
 
 def flat_rows(rows: DataFrame) -> DataFrame:
     """Stored form of the samples, with the time of every sample."""
-    shift = F.col("pos") * 0.005
+    shift = F.col("pos") * SAMPLING_PERIOD_S
     return rows.filter(F.col("pos").isNotNull() & F.col("header_timestamp_us").isNotNull()).select(
-        "sensor_id", (F.col("header_timestamp_us") / 1e6 + shift).alias("cur_timestamp"),
-        (F.col("kafka_timestamp") / 1e6 + shift).alias("kafka_timestamp"), *SAMPLE_COLUMNS)
+        "sensor_id", (F.col("header_timestamp_us") / float(MICROS_PER_SECOND) + shift).alias("cur_timestamp"),
+        (F.col("kafka_timestamp") / float(MICROS_PER_SECOND) + shift).alias("kafka_timestamp"), *SAMPLE_COLUMNS)
 
 
 def record_rows(rows: DataFrame) -> DataFrame:
     """Whole records again; a record without samples gives none."""
     sample = F.struct("pos", F.struct(
         *[F.col(c) for c in AXIS_FIELDS + ("accl_mag", "gyro_mag")],
-        (F.col("header_timestamp_us") / 1e6).alias("timestamp"), "predicted_velocity").alias("s"))
+        (F.col("header_timestamp_us") / float(MICROS_PER_SECOND)).alias("timestamp"), "predicted_velocity").alias("s"))
     return (
         rows.filter(F.col("pos").isNotNull())
         .groupBy("sensor_id", "partition", "offset", "header_timestamp_us", "kafka_timestamp", "sensor_session_id")

@@ -6,7 +6,6 @@ import struct
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from stridelake.functions.crc import crc16
 from stridelake.operators import packets

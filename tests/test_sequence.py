@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from stridelake.operators import aggregates, features, sequence, sessions
 from stridelake.operators.sessions import assign_sessions
