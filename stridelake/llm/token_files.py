@@ -29,7 +29,7 @@ from stridelake.session import new_folder
 
 # Marks of the format.
 MAGIC = b"TOKRANS1"
-FILE_TOKENS = 1 << 23
+FILE_TOKENS = 1 << 22
 RANGE_BYTES = 48 << 20
 SLICE_BYTES = 2 << 20
 SIDE_BY_SIDE = 16
