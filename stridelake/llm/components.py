@@ -12,10 +12,19 @@ from pyspark.sql import DataFrame, functions as F
 from stridelake.session import new_folder
 
 
+# Shuffle files go when a stored step is done; until then a lost executor's part can be made again from them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows to the shared folder and read them back, which cuts the lineage."""
+    """Write the rows to the shared folder and read them back, which cuts the lineage and frees the shuffles before it."""
     spark = df.sparkSession
-    df.write.parquet(path := new_folder(spark, name))
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path := new_folder(spark, name))
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

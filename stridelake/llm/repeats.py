@@ -216,12 +216,12 @@ def find_repeats(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot
     entries = found.groupBy("anchor", "content", "windows").agg(
         F.min(place).alias("first"), F.min("passage").alias("passage"))
     entries = stored(entries.select("anchor", "content", "windows", "first.*", "passage"), "entries")
-    sizes = entries.groupBy("anchor").agg(F.count("*").alias("n")).select(
-        "anchor", F.ceil(F.col("n") / hot).alias("parts"))
-    sized = entries.join(sizes, "anchor")
-    plain = sized.filter("parts = 1").select(F.col("anchor").alias("group"), *PLACE, "place", "windows", "passage")
+    hot_anchors = stored(entries.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select(
+        "anchor", F.ceil(F.col("n") / hot).alias("parts")), "hot")
+    sized = entries.join(hot_anchors, "anchor", "left")
+    plain = sized.filter("parts is null").select(F.col("anchor").alias("group"), *PLACE, "place", "windows", "passage")
     window = F.expr(f"substring(passage, cast(step + 1 as int), {width})")
-    split = sized.filter("parts > 1").withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1))).withColumn(
+    split = sized.filter("parts is not null").withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1))).withColumn(
         "passage", window).select(
         F.xxhash64("anchor", F.pmod(F.xxhash64("passage"), F.col("parts"))).alias("group"), *PLACE,
         (F.col("place") + F.col("step")).alias("place"), F.lit(1).cast("long").alias("windows"), "passage")
@@ -230,7 +230,7 @@ def find_repeats(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot
     copies = found.select("anchor", "content", "windows", *PLACE, "place").join(
         firsts, ["anchor", "content", "windows"]).filter(F.struct(*PLACE, "place") > F.col("first")).select(
         *PLACE, F.col("place").alias("start"), (F.col("place") + F.col("windows") + (width - 1)).alias("end"))
-    return by_suffix.unionByName(copies)
+    return stored(by_suffix.unionByName(copies), "spans")
 
 
 def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
