@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stridelake.llm import bloom
 from stridelake.session import new_folder
+from stridelake.sources.files import file_or_folder
 
 # State on disk; without space set aside for each of many small stores.
 STATE_SETTINGS = {
@@ -37,11 +38,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def file_or_folder(path: str) -> str:
-    """A pattern for exactly this path; the stream reader takes a single file only as a pattern."""
-    return f"{path[:-1]}[{path[-1]}]"
-
-
 def sign_documents(spark: SparkSession, path: str, folder: str, key: str, text: str,
                    digest: Callable[[Column], Column] = sha256, files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream that stores a signature per row of the Parquet files that have come since the last run."""
