@@ -5,7 +5,7 @@ equal windows have equal anchors. Consecutive windows with the same anchor are o
 no other, and stands in it once, cannot repeat. The passages of the others are read, equal ones are one entry with the earliest place, and entries with
 the same anchor meet in one task, which sorts the suffixes of many anchors at a time (see `suffixes`): windows with a
 common prefix of `width` bytes are the same string, all but the earliest of them are repeats. An anchor with more than
-HOT entries is split: its windows are dealt to several groups by their content.
+HOT windows is split: its windows are dealt to several groups by their content.
 
 Every byte of a repeat is removed; repeats are judged on the input. A place is earlier if it has the smaller document
 id, or is in the same document and starts earlier. Null texts are empty; a null id is larger than all others. Rows
@@ -29,9 +29,14 @@ from stridelake.llm.suffixes import later_windows
 
 WIDTH = 100
 ANCHOR = 24
-HOT = 20_000
-SLICE_BYTES = 2 << 20
-SORT_BYTES = 4 << 20
+# Windows of an anchor that one task sorts at most; beyond, they are dealt out by their content.
+HOT = 400_000
+# Longer passages are cut into pieces of so many windows. Texts that repeat themselves give equal pieces, whose number
+# has many divisors so that it is a multiple of most short periods.
+PIECE = 840
+SLICE_BYTES = 1 << 20
+# Suffixes of so many bytes are sorted at a time, as keys that fit a processor's cache sort several times faster.
+SORT_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 PLACE = ["no_id", "id", "mark"]
@@ -78,7 +83,7 @@ def passages(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) ->
         reach *= 2
     if span > reach:
         least = np.minimum(least[:-(span - reach)], least[span - reach:])
-    text = np.searchsorted(offsets, np.arange(len(least)), side="right") - 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(least)]
     whole = np.arange(len(least)) + width <= offsets[text + 1]
     joined = np.zeros(len(least), bool)
     joined[1:] = (least[1:] == least[:-1]) & (text[1:] == text[:-1]) & whole[1:] & whole[:-1]
@@ -86,8 +91,6 @@ def passages(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) ->
     if not len(start):
         return nothing
     end = np.flatnonzero(whole & ~np.r_[joined[1:], False])
-    windows = end - start + 1
-    content = mixed((total[end + width] - total[start]) * down[start] + windows.astype(np.uint64))
     # A passage repeats itself only if its anchor starts one of its windows and, further on, ends one.
     leading = np.flatnonzero(runs[:len(least)] == least)
     ending = np.flatnonzero(runs[span - 1:] == least)
@@ -95,6 +98,12 @@ def passages(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) ->
     inner = (first < len(leading)) & (last >= 0)
     inner[inner] = (leading[first[inner]] <= end[inner]) & (ending[last[inner]] >= start[inner]) & (
         leading[first[inner]] < ending[last[inner]] + span - 1)
+    pieces = -(-(end - start + 1) // PIECE)
+    number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    start, end, inner = (np.repeat(x, pieces) for x in (start, end, inner))
+    start = start + number * PIECE
+    windows = np.minimum(end - start + 1, PIECE)
+    content = mixed((total[start + windows + width - 1] - total[start]) * down[start] + windows.astype(np.uint64))
     return (text[start], start - offsets[text[start]], windows, least[start].view(np.int64), content.view(np.int64), inner)
 
 
@@ -130,7 +139,8 @@ def routed(texts: DataFrame, wanted: DataFrame, width: int, anchor: int) -> Data
     """The wanted passages with their bytes and hash. `wanted` has, by document, the places of passages."""
     joined = texts.join(wanted.groupBy(*PLACE).agg(F.collect_list("place").alias("places")), PLACE)
     schema = StructType([joined.schema[c] for c in PLACE])
-    for name, kind in (("place", "long"), ("windows", "long"), ("anchor", "long"), ("content", "long"), ("passage", "binary")):
+    for name, kind in (("place", "long"), ("windows", "long"), ("anchor", "long"), ("content", "long"), ("inner", "boolean"),
+                       ("passage", "binary")):
         schema = schema.add(name, kind)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,17 +149,17 @@ def routed(texts: DataFrame, wanted: DataFrame, width: int, anchor: int) -> Data
                 data, offsets = buffers(piece.column("body"))
                 first, offsets = offsets[0], offsets - offsets[0]
                 held = np.frombuffer(data, np.uint8)[first:first + offsets[-1]]
-                owner, place, windows, least, content, _ = passages(held, offsets, width, anchor)
+                owner, place, windows, least, content, inner = passages(held, offsets, width, anchor)
                 lists = piece.column("places")
                 asked = np.repeat(offsets[:-1], lists.value_lengths().to_numpy()) + lists.flatten().to_numpy()
                 kept = np.isin(offsets[owner] + place, asked)
-                owner, place, windows, least, content = (x[kept] for x in (owner, place, windows, least, content))
+                owner, place, windows, least, content, inner = (x[kept] for x in (owner, place, windows, least, content, inner))
                 at = offsets[owner] + place
                 raw = held.tobytes()
                 bodies = [raw[s:s + n] for s, n in zip(at.tolist(), (windows + width - 1).tolist())]
                 owner = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([
-                    *(piece.column(c).take(owner) for c in PLACE), *map(pa.array, (place, windows, least, content)),
+                    *(piece.column(c).take(owner) for c in PLACE), *map(pa.array, (place, windows, least, content, inner)),
                     pa.array(bodies, pa.binary())], schema.names)
 
     return joined.select(*PLACE, "body", "places").mapInArrow(read, schema)
@@ -158,8 +168,8 @@ def routed(texts: DataFrame, wanted: DataFrame, width: int, anchor: int) -> Data
 def repeats_of(entries: DataFrame, width: int) -> DataFrame:
     """Runs of later windows, as bytes start to end of the document of each entry.
 
-    `entries` has the group, the earliest place of a passage, its windows and bytes. Groups are sorted in tasks,
-    many at a time; a group is never cut.
+    `entries` has the group, whether the passage may repeat itself, its earliest place, its windows and bytes. Groups
+    are sorted in tasks, many at a time; a group is never cut. A group of one entry is left out if it cannot repeat itself.
     """
     schema = StructType([entries.schema[c] for c in PLACE]).add("start", LongType()).add("end", LongType())
 
@@ -182,25 +192,37 @@ def repeats_of(entries: DataFrame, width: int) -> DataFrame:
             pa.array(base + place[first]), pa.array(base + place[last] + width)], schema.names)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, group = [], 0, None
+        held, size, last = [], 0, None
         for batch in batches:
             numbers = batch.column("group").to_numpy()
-            cuts = np.flatnonzero(numbers[1:] != numbers[:-1]) + 1
-            lengths = np.diff(buffers(batch.column("passage"))[1])
-            for start, end in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(numbers)].tolist()):
-                if start == end:
-                    continue
-                if size >= SORT_BYTES and numbers[start] != group:
+            if not len(numbers):
+                continue
+            lengths = np.diff(np.r_[np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]]), len(numbers)])
+            alone = lengths == 1
+            alone[[0, -1]] = False  # the first and last group may have rows in other batches
+            kept = ~np.repeat(alone, lengths) | batch.column("inner").to_numpy(zero_copy_only=False)
+            batch, numbers = batch.filter(pa.array(kept)), numbers[kept]
+            total = buffers(batch.column("passage"))[1]
+            begins = np.flatnonzero(np.r_[numbers[0] != last, numbers[1:] != numbers[:-1]])
+            at = 0
+            while True:  # cut where a group begins, once there is enough to sort
+                next_ = int(np.searchsorted(total[begins], total[at] + SORT_BYTES - size))
+                if next_ == len(begins):
+                    break
+                cut = int(begins[next_])
+                if cut > at:
+                    held.append(batch.slice(at, cut - at))
+                if held:
                     yield sorted_(held)
-                    held, size = [], 0
-                held.append(batch.slice(start, end - start))
-                size += int(lengths[start:end].sum())
-                group = numbers[start]
+                held, size, at = [], 0, cut
+            held.append(batch.slice(at))
+            size += int(total[-1] - total[at])
+            last = numbers[-1]
         if held:
             yield sorted_(held)
 
     dealt = entries.repartition("group").sortWithinPartitions("group")
-    return dealt.select("group", *PLACE, "place", "windows", "passage").mapInArrow(found, schema)
+    return dealt.select("group", "inner", *PLACE, "place", "windows", "passage").mapInArrow(found, schema)
 
 
 def find_repeats(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
@@ -214,16 +236,16 @@ def find_repeats(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot
     found = stored(routed(bloom.possible_hits(texts, ["id", "mark"], known, blocks), wanted, width, anchor), "passages")
     place = F.struct(*PLACE, "place")
     entries = found.groupBy("anchor", "content", "windows").agg(
-        F.min(place).alias("first"), F.min("passage").alias("passage"))
-    entries = stored(entries.select("anchor", "content", "windows", "first.*", "passage"), "entries")
-    hot_anchors = stored(entries.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select(
+        F.min(place).alias("first"), F.max("inner").alias("inner"), F.min("passage").alias("passage"))
+    entries = stored(entries.select("anchor", "content", "windows", "inner", "first.*", "passage"), "entries")
+    hot_anchors = stored(entries.groupBy("anchor").agg(F.sum("windows").alias("n")).filter(F.col("n") > hot).select(
         "anchor", F.ceil(F.col("n") / hot).alias("parts")), "hot")
     sized = entries.join(hot_anchors, "anchor", "left")
-    plain = sized.filter("parts is null").select(F.col("anchor").alias("group"), *PLACE, "place", "windows", "passage")
+    plain = sized.filter("parts is null").select(F.col("anchor").alias("group"), "inner", *PLACE, "place", "windows", "passage")
     window = F.expr(f"substring(passage, cast(step + 1 as int), {width})")
     split = sized.filter("parts is not null").withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1))).withColumn(
         "passage", window).select(
-        F.xxhash64("anchor", F.pmod(F.xxhash64("passage"), F.col("parts"))).alias("group"), *PLACE,
+        F.xxhash64("anchor", F.pmod(F.xxhash64("passage"), F.col("parts"))).alias("group"), F.lit(False).alias("inner"), *PLACE,
         (F.col("place") + F.col("step")).alias("place"), F.lit(1).cast("long").alias("windows"), "passage")
     by_suffix = repeats_of(plain.unionByName(split), width)
     firsts = entries.select("anchor", "content", "windows", F.struct(*PLACE, "place").alias("first"))

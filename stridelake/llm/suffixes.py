@@ -15,22 +15,19 @@ SEPARATOR = 255
 
 def smaller_than_next(text: np.ndarray) -> np.ndarray:
     """For every suffix, whether it is smaller than the suffix that starts one byte later."""
-    size = len(text)
+    out = np.zeros(len(text), bool)
     change = np.flatnonzero(text[1:] != text[:-1])
-    at = np.searchsorted(change, np.arange(size))
-    known = at < len(change)
-    out = np.zeros(size, bool)
-    place = change[at[known]]
-    out[known] = text[place] < text[place + 1]
+    if len(change):  # all of a run of equal bytes is like its last byte
+        out[:change[-1] + 1] = np.repeat(text[change] < text[change + 1], np.diff(change, prepend=-1))
     return out
 
 
-def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
+def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int, small: np.ndarray | None = None) -> np.ndarray:
     """The wanted suffixes in order of their first `depth` bytes.
 
     `wanted` marks places; a wanted suffix that is larger than its successor needs the successor wanted too.
     """
-    small = smaller_than_next(text)
+    small = smaller_than_next(text) if small is None else small
     direct = np.flatnonzero(wanted & small)
     data = text.tobytes()
     keys = [data[i:i + depth] for i in direct.tolist()]
@@ -92,12 +89,13 @@ def later_windows(passages: list[bytes], windows: np.ndarray, rank: np.ndarray,
     sizes = np.array([len(p) + 1 for p in passages], np.int64)
     base = np.cumsum(sizes) - sizes
     # What is induced needs its successors, up to one that is sorted directly.
-    small = np.flatnonzero(smaller_than_next(text))
-    stop = small[np.minimum(np.searchsorted(small, base + windows - 1), len(small) - 1)]
+    small = smaller_than_next(text)
+    ends = np.flatnonzero(small)
+    stop = ends[np.minimum(np.searchsorted(ends, base + windows - 1), len(ends) - 1)]
     mark = np.zeros(len(text) + 1, np.int64)
     np.add.at(mark, base, 1)
     np.add.at(mark, stop + 1, -1)
-    order = suffix_order(text, np.cumsum(mark[:-1]) > 0, width)
+    order = suffix_order(text, np.cumsum(mark[:-1]) > 0, width, small)
     owner = np.searchsorted(base, order, side="right") - 1
     place = order - base[owner]
     held = place < windows[owner]
