@@ -9,6 +9,8 @@ Distinct fingerprints are dealt into tiles by their population counts. Two finge
 are compared, each block of one with each block of the other, by exclusive-or and bit counts. A pair of blocks
 returns a spanning forest of its links, which has the same components and at most one row per fingerprint.
 
+`similar_groups` takes the set of a text's shingles, without repeats.
+
 Null and empty texts are linked with each other as they have equal fingerprints. Repeated rows stay, null ids are
 larger than all others.
 """
@@ -52,6 +54,16 @@ def shingle_hashes(text: bytes, shingle: int) -> list[int]:
     return [xxh64_intdigest(joined[a:b - 1], SEED) for a, b in zip(places, places[shingle:])]
 
 
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The different hashes of a text's shingles in order."""
+    return np.unique(np.array(shingle_hashes(text, shingle), np.uint64))
+
+
+def set_node(held: np.ndarray) -> int:
+    """A number for a set of shingles, as a signed 64-bit one."""
+    return xxh64_intdigest(held.tobytes(), SEED) - (1 << 63)
+
+
 def mixed(hashes: np.ndarray, part: int) -> np.ndarray:
     """The hashes themselves for part 0, else further 64 bits of each."""
     if not part:
@@ -80,22 +92,45 @@ def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
-                 parts: int = 1) -> DataFrame:
-    """Columns id, parts (array of 64-bit words, low word first) and size (number of shingles) of every row."""
-    rows = documents.select(documents[key].alias("id"), documents[text].cast("string").alias("body"))
+def words_of(runs: list[np.ndarray], parts: int) -> tuple[pa.Array, pa.Array]:
+    """Fingerprints of runs of hashes, as lists of 64-bit words, and how many hashes each run has."""
+    counts = np.array([len(r) for r in runs], np.int64)
+    hashes = np.concatenate(runs)
+    words = np.stack([majority_bits(mixed(hashes, p), counts) for p in range(parts)], axis=1)
+    return pa.ListArray.from_arrays(
+        pa.array(np.arange(0, words.size + 1, parts, dtype=np.int32)), pa.array(words.ravel().view(np.int64))), pa.array(counts)
+
+
+def rows_of(documents: DataFrame, key: str, text: str) -> DataFrame:
+    return documents.select(documents[key].alias("id"), documents[text].cast("string").alias("body"))
+
+
+def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """Columns id, parts (array of one 64-bit word) and size (number of shingles) of every row."""
+    rows = rows_of(documents, key, text)
     schema = StructType(rows.schema.fields[:1]).add("parts", ArrayType(LongType())).add("size", LongType())
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "body", SLICE_BYTES):
                 runs = [np.array(shingle_hashes(t, shingle), np.uint64) for t in raw_texts(piece.column("body"))]
-                counts = np.array([len(r) for r in runs], np.int64)
-                hashes = np.concatenate(runs)
-                words = np.stack([majority_bits(mixed(hashes, p), counts) for p in range(parts)], axis=1)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, words.size + 1, parts, dtype=np.int32)), pa.array(words.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([piece.column("id"), lists, pa.array(counts)], ["id", "parts", "size"])
+                yield pa.RecordBatch.from_arrays([piece.column("id"), *words_of(runs, 1)], ["id", "parts", "size"])
+
+    return rows.mapInArrow(printed, schema)
+
+
+def set_fingerprints(documents: DataFrame, key: str, text: str, shingle: int, parts: int) -> DataFrame:
+    """Columns id, parts, size (number of shingles) and node (a number for the set) of every row."""
+    rows = rows_of(documents, key, text)
+    schema = StructType(rows.schema.fields[:1]).add("parts", ArrayType(LongType())).add("size", LongType()).add("node", LongType())
+
+    def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "body", SLICE_BYTES):
+                runs = [shingle_set(t, shingle) for t in raw_texts(piece.column("body"))]
+                nodes = pa.array([set_node(r) for r in runs], pa.int64())
+                sizes = pa.array([len(shingle_hashes(t, shingle)) for t in raw_texts(piece.column("body"))], pa.int64())
+                yield pa.RecordBatch.from_arrays([piece.column("id"), words_of(runs, parts)[0], sizes, nodes], schema.names)
 
     return rows.mapInArrow(printed, schema)
 
@@ -216,7 +251,7 @@ def similar_groups(documents: DataFrame, key: str, text: str = "text", shingle:
     more or less is too many are grouped only if their fingerprints are equal.
     """
     radius = wide_radius(similarity, parts)
-    prints = stored(fingerprints(documents, key, text, shingle, parts).withColumn("node", F.xxhash64("parts", "size")), "fingerprints")
+    prints = stored(set_fingerprints(documents, key, text, shingle, parts), "fingerprints")
     width = radius + 1
     ones = F.aggregate("parts", F.lit(0), lambda total, part: total + F.bit_count(part))
     size_class = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(similarity)))

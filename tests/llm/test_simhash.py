@@ -105,3 +105,24 @@ def test_similar_groups_of_odd_documents(odd_documents, no_documents):
     found = {r.id: r.component_id for r in rows}
     assert found[1] == found[2] == 1 and found[3] == found[4] == found[5] == 3 and found[6] == 6 and found[9] == 9
     assert simhash.similar_groups(no_documents, "doc_id").count() == 0
+
+
+def component_ids(spark, texts):
+    rows = list(enumerate(texts))
+    found = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()
+    return [i for _, i in sorted((r.id, r.component_id) for r in found)]
+
+
+def own_words(name, count):
+    return [f"{name}{i}" for i in range(count)]
+
+
+def longer(name, size, more):
+    """A text of so many different shingles, and the same with further words at the end."""
+    words = own_words(name, size + 4 + more)
+    return [" ".join(words[:size + 4]), " ".join(words)]
+
+
+def test_texts_with_a_common_repeated_line_stay_apart(spark):
+    line = "all rights reserved by the owner".split()
+    assert component_ids(spark, [" ".join(own_words(n, 100) + line * 100) for n in "abc"]) == [0, 1, 2]
