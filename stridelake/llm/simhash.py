@@ -9,7 +9,8 @@ Distinct fingerprints are dealt into tiles by their population counts. Two finge
 are compared, each block of one with each block of the other, by exclusive-or and bit counts. A pair of blocks
 returns a spanning forest of its links, which has the same components and at most one row per fingerprint.
 
-`similar_groups` takes the set of a text's shingles, without repeats.
+`similar_groups` takes the set of a text's shingles, whose fingerprints only say which pairs are looked at: what they
+link is compared again, tile by tile, and a pair is joined if the Jaccard similarity of its two sets is high enough.
 
 Null and empty texts are linked with each other as they have equal fingerprints. Repeated rows stay, null ids are
 larger than all others.
@@ -19,7 +20,8 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from fractions import Fraction
 from itertools import accumulate
 
 import numpy as np
@@ -35,9 +37,14 @@ SEED = 42
 SLICE_BYTES = 4 << 20
 BLOCK = 2048
 WIDE_BLOCK = 16_384
+# Shingles of a block whose sets are compared; a set counts as LEAST_SET at least.
+SET_BLOCK = 1 << 19
+LEAST_SET = 64
 # Words of a longer fingerprint that are compared for all pairs of a tile; the rest only if these are near enough.
 DENSE = 4
 TILE_BASE = 64
+# More than there are classes of sizes; a power of two.
+CLASSES = 128
 # Each bit of a byte in a byte of its own.
 SPREAD = np.array([sum((b >> i & 1) << 8 * i for i in range(8)) for b in range(256)], np.uint64)
 MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
@@ -135,6 +142,24 @@ def set_fingerprints(documents: DataFrame, key: str, text: str, shingle: int, pa
     return rows.mapInArrow(printed, schema)
 
 
+def shingle_sets(documents: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """Rows of `wanted` (columns id, node and others) with held, the shingle hashes of the text that has this id and node."""
+    rows = rows_of(documents, key, text)
+    ids = wanted.select(F.col("id").alias("_id"))
+    rows = rows.join(ids, rows["id"].eqNullSafe(ids["_id"]), "left_semi").select("body")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "body", SLICE_BYTES):
+                runs = [shingle_set(t, shingle) for t in raw_texts(piece.column("body"))]
+                ends = np.cumsum([0, *map(len, runs)])
+                held = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(runs).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([set_node(r) for r in runs], pa.int64()), held], ["_node", "held"])
+
+    found = rows.mapInArrow(read, "_node long, held array<long>")
+    return wanted.join(found, wanted["node"] == found["_node"]).drop("_node", "id").dropDuplicates(["node"])
+
+
 def tile_of(part: Column) -> Column:
     """The population counts of four 16-bit words, as digits of a number."""
     digits = [F.bit_count(F.shiftrightunsigned(part, 16 * i).bitwiseAND(F.lit(0xFFFF))).cast("long") for i in range(4)]
@@ -156,10 +181,33 @@ def tile_steps(radius: int) -> list[int]:
     return sorted(s for s in steps if s >= 0)
 
 
-def forest(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def alike(own: np.ndarray, sets: list[np.ndarray], least: Fraction) -> np.ndarray:
+    """Which of the sets, each of different hashes in order, have at least this Jaccard similarity with the own one."""
+    sizes = np.array([len(x) for x in sets])
+    values = np.concatenate(sets)
+    hits = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+    common = np.add.reduceat(hits, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return common * least.denominator >= (len(own) + sizes - common) * least.numerator
+
+
+def checked(own: np.ndarray, sets: list[np.ndarray], found: np.ndarray, label: np.ndarray, least: Fraction) -> np.ndarray:
+    """Places found, nearest first, of sets alike with the own one; those that an earlier one leads to are left out."""
+    kept, most = [found[:0]], 4
+    while len(found):
+        some, found = found[:most], found[most:]
+        some = some[alike(own, [sets[k] for k in some], least)]
+        found = found[~np.isin(label[found], label[some])]
+        kept.append(some)
+        most = min(4 * most, 1024)
+    return np.concatenate(kept)
+
+
+def forest(a: np.ndarray, b: np.ndarray, radius: int,
+           check: Callable[[int, np.ndarray, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links of rows of a with rows of b (each a row of 64-bit words) within the radius, as places in a and b.
 
-    The links returned connect what all links connect. A link of two rows of b is given as (-1 - place, place).
+    The links returned connect what all links connect. A link of two rows of b is given as (-1 - place, place). `check`
+    gets a place in a, places in b that are near it, nearest first, and the labels of b; it returns those that are linked.
     """
     label = np.arange(len(b))
     step = max(1, (1 << 20) // max(1, len(b)))
@@ -170,32 +218,44 @@ def forest(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarr
             near += np.bitwise_count(rows[:, None, part] ^ b[None, :, part])
         i, j = np.nonzero(near <= radius)
         if a.shape[1] > 1:
-            exact = np.bitwise_count(rows[i] ^ b[j]).sum(axis=1, dtype=np.int64) <= radius
-            i, j = i[exact], j[exact]
+            apart = np.bitwise_count(rows[i] ^ b[j]).sum(axis=1, dtype=np.int64)
+            if check:
+                order = np.lexsort((apart, i))
+                i, j, apart = i[order], j[order], apart[order]
+            i, j = i[apart <= radius], j[apart <= radius]
         if not len(i):
             continue
         cuts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
         for start, end in zip(cuts, np.r_[cuts[1:], len(i)]):
-            groups = np.unique(label[j[start:end]])
-            yield np.array([at + i[start]]), groups[:1]
+            found = j[start:end]
+            if check:
+                found = check(at + i[start], found, label)
+            groups = np.unique(label[found])
+            if len(groups):
+                yield np.array([at + i[start]]), groups[:1]
             if len(groups) > 1:
                 label[np.isin(label, groups)] = groups[0]
                 yield -1 - np.repeat(groups[:1], len(groups) - 1), groups[1:]
 
 
-def tile_links(prints: DataFrame, steps: list[int], radius: int, parts: int, most: int | None = None) -> DataFrame:
-    """Links u, v of distinct fingerprints within the radius. `prints` has node, parts and tile.
+def tile_links(prints: DataFrame, steps: list[int], radius: int | Column, parts: int, most: int | None = None,
+               least: Fraction | None = None) -> DataFrame:
+    """Links u, v of distinct fingerprints within the radius, which may depend on tile_a. `prints` has node, parts and tile.
 
-    A tile of more than `most` fingerprints is cut into blocks. What is moved falls with the size of blocks.
+    A tile of more than `most` fingerprints is cut into blocks. What is moved falls with the size of blocks. With `least`,
+    prints have held too, their shingle sets, which must have this Jaccard similarity; `most` counts shingles then.
     """
     most = most or BLOCK
-    prints = stored(prints.select("node", "parts", "tile"), "prints")
-    counts = prints.groupBy("tile").agg(F.count("*").alias("n"))
+    sets = ["held"] if least else []
+    prints = stored(prints.select("node", "parts", "tile", *sets), "prints")
+    counts = prints.groupBy("tile").agg((F.sum(F.greatest(F.size("held"), F.lit(LEAST_SET))) if sets else F.count("*")).alias("n"))
     tiles = stored(counts.select("tile", F.ceil(F.col("n") / most).cast("int").alias("blocks")), "tiles")
     block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     blocks = stored(prints.join(tiles, "tile").withColumn("block", block).groupBy("tile", "block").agg(
-        F.collect_list(F.struct("node", "parts")).alias("held")), "blocks").select(
-        "tile", "block", F.col("held.node").alias("nodes"), F.flatten("held.parts").alias("words"))
+        F.collect_list(F.struct("node", "parts", *sets)).alias("rows")), "blocks").select(
+        "tile", "block", F.col("rows.node").alias("nodes"), F.flatten("rows.parts").alias("words"),
+        *([F.transform("rows.held", lambda x: F.size(x).cast("long")).alias("sizes"), F.flatten("rows.held").alias("held")] if sets else []))
+    arrays = [c for c in blocks.columns if c not in ("tile", "block")]
     left = tiles.select(F.col("tile").alias("tile_a"), F.col("blocks").alias("blocks_a"),
                         F.explode(F.array(*[F.lit(s) for s in steps])).alias("step"))
     pairs = left.withColumn("tile_b", F.col("tile_a") + F.col("step")).join(
@@ -205,15 +265,21 @@ def tile_links(prints: DataFrame, steps: list[int], radius: int, parts: int, mos
     pairs = pairs.select("tile_a", "tile_b", "block_a", F.explode(F.sequence(first, F.col("blocks_b") - 1)).alias("block_b"))
     work = pairs.join(blocks.select(*[F.col(c).alias(f"{c}_a") for c in blocks.columns]), ["tile_a", "block_a"]).join(
         blocks.select(*[F.col(c).alias(f"{c}_b") for c in blocks.columns]), ["tile_b", "block_b"]).select(
-        "nodes_a", "words_a", "nodes_b", "words_b")
+        F.lit(radius).alias("radius"), *[f"{c}_{side}" for side in "ab" for c in arrays])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [[x.values.to_numpy().astype(np.int64) for x in column] for column in batch.columns]
             us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for nodes_a, words_a, nodes_b, words_b in zip(*columns):
+            for row in range(batch.num_rows):
+                within = batch.column(0)[row].as_py()
+                held = [column[row].values.to_numpy().astype(np.int64) for column in batch.columns[1:]]
+                (nodes_a, words_a, *sets_a), (nodes_b, words_b, *sets_b) = held[:len(arrays)], held[len(arrays):]
                 a, b = (w.view(np.uint64).reshape(-1, parts) for w in (words_a, words_b))
-                for i, j in forest(a, b, radius):
+                check = None
+                if least:
+                    own, others = ([x.view(np.uint64) for x in np.split(all_, np.cumsum(sizes)[:-1])] for sizes, all_ in (sets_a, sets_b))
+                    check = lambda i, found, label: checked(own[i], others, found, label, least)
+                for i, j in forest(a, b, within, check):
                     us.append(nodes_b[-1 - i] if i[0] < 0 else nodes_a[i])
                     vs.append(nodes_b[j])
             u, v = np.concatenate(us), np.concatenate(vs)
@@ -246,20 +312,31 @@ def similar_groups(documents: DataFrame, key: str, text: str = "text", shingle:
                    parts: int = 8) -> DataFrame:
     """Every row (columns id and component_id) with the smallest key of the texts that similar ones lead to.
 
-    Similarity is that of the sets of word shingles, estimated from fingerprints of 64 times `parts` bits. Tiles are
-    also kept apart by the number of shingles, as similar sets have similar sizes. Texts of so few shingles that one
-    more or less is too many are grouped only if their fingerprints are equal.
+    Similarity is that of the sets of word shingles. Fingerprints of 64 times `parts` bits, compared between texts whose
+    numbers of different shingles are near enough, give candidates; the sets of what these lead to decide. Sets so small
+    that one shingle more or less is too many are grouped only if they are equal.
     """
-    radius = wide_radius(similarity, parts)
+    least = Fraction(str(similarity))
     prints = stored(set_fingerprints(documents, key, text, shingle, parts), "fingerprints")
-    width = radius + 1
-    ones = F.aggregate("parts", F.lit(0), lambda total, part: total + F.bit_count(part))
-    size_class = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(similarity)))
-    one_off = math.ceil((1 + similarity) / (1 - similarity))
-    nodes = prints.filter(F.col("size") >= one_off).groupBy("node").agg(F.first("parts").alias("parts"), F.first("size").alias("size")).select(
-        "node", "parts", (size_class * TILE_BASE + F.floor(ones / width)).cast("long").alias("tile"))
-    steps = [0, 1, TILE_BASE - 1, TILE_BASE, TILE_BASE + 1]
-    return grouped(prints, tile_links(nodes, steps, radius, parts, WIDE_BLOCK)).select("id", "component_id")
+    width = -math.log(similarity)
+    smallest = math.ceil((1 + similarity) / (1 - similarity)) if least < 1 else math.inf
+    if smallest == math.inf:
+        return grouped(prints, prints.select(F.col("node").alias("u"), F.col("node").alias("v"))).select("id", "component_id")
+    nodes = prints.filter(F.col("size") >= smallest).groupBy("node").agg(
+        F.min("id").alias("id"), F.first("parts").alias("parts"), F.first("size").alias("size")).withColumn(
+        "class", F.floor(F.log(F.col("size").cast("double")) / F.lit(width)).cast("long"))
+    nodes = stored(nodes, "sets")
+    radius = wide_radius(similarity, parts)
+    near = tile_links(nodes.withColumn("tile", F.col("class")), [0, 1], radius, parts, WIDE_BLOCK)
+    roots = components(near)
+    # Classes of a small group are one tile. Groups with equal numbers share tiles, which only costs comparisons.
+    found = stored(nodes.join(roots.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node")).drop("_node"), "candidates")
+    weight = found.groupBy("root").agg(F.sum(F.greatest("size", F.lit(LEAST_SET))).alias("weight"))
+    found = found.join(weight, "root").withColumn("tile", F.shiftrightunsigned(F.xxhash64("root"), 1).bitwiseAND(F.lit(-CLASSES)) + F.when(
+        F.col("weight") > SET_BLOCK, F.col("class")).otherwise(0))
+    sets = shingle_sets(documents, found.select("id", "node", "parts", "tile"), key, text, shingle)
+    links = tile_links(sets, [0, 1], radius, parts, SET_BLOCK, least)
+    return grouped(prints, links).select("id", "component_id")
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,

@@ -126,3 +126,11 @@ def longer(name, size, more):
 def test_texts_with_a_common_repeated_line_stay_apart(spark):
     line = "all rights reserved by the owner".split()
     assert component_ids(spark, [" ".join(own_words(n, 100) + line * 100) for n in "abc"]) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("block", [100, 1 << 19])
+def test_only_sets_of_enough_similarity_meet(spark, monkeypatch, block):
+    """Pairs just under 0.8 (0.7 to 0.797), in large and in small blocks."""
+    monkeypatch.setattr(simhash, "SET_BLOCK", block)
+    under = [t for n in range(40) for t in longer(f"u{n}x", 200, 51 + n % 35)]
+    assert component_ids(spark, under) == list(range(80))
