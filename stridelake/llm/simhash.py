@@ -127,7 +127,7 @@ def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def set_fingerprints(documents: DataFrame, key: str, text: str, shingle: int, parts: int) -> DataFrame:
-    """Columns id, parts, size (number of shingles) and node (a number for the set) of every row."""
+    """Columns id, parts, size (number of different shingles) and node (a number for the set) of every row."""
     rows = rows_of(documents, key, text)
     schema = StructType(rows.schema.fields[:1]).add("parts", ArrayType(LongType())).add("size", LongType()).add("node", LongType())
 
@@ -136,8 +136,7 @@ def set_fingerprints(documents: DataFrame, key: str, text: str, shingle: int, pa
             for piece in slices(batch, "body", SLICE_BYTES):
                 runs = [shingle_set(t, shingle) for t in raw_texts(piece.column("body"))]
                 nodes = pa.array([set_node(r) for r in runs], pa.int64())
-                sizes = pa.array([len(shingle_hashes(t, shingle)) for t in raw_texts(piece.column("body"))], pa.int64())
-                yield pa.RecordBatch.from_arrays([piece.column("id"), words_of(runs, parts)[0], sizes, nodes], schema.names)
+                yield pa.RecordBatch.from_arrays([piece.column("id"), *words_of(runs, parts), nodes], schema.names)
 
     return rows.mapInArrow(printed, schema)
 

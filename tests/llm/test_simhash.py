@@ -134,3 +134,8 @@ def test_only_sets_of_enough_similarity_meet(spark, monkeypatch, block):
     monkeypatch.setattr(simhash, "SET_BLOCK", block)
     under = [t for n in range(40) for t in longer(f"u{n}x", 200, 51 + n % 35)]
     assert component_ids(spark, under) == list(range(80))
+
+
+def test_equal_sets_with_other_repeat_counts_meet(spark):
+    body, line = own_words("b", 300), own_words("l", 20)
+    assert component_ids(spark, [" ".join(body + line * 10), " ".join(body + line * 30)]) == [0, 0]
