@@ -41,7 +41,10 @@ WIDE_BLOCK = 16_384
 SET_BLOCK = 1 << 19
 LEAST_SET = 64
 # Words of a longer fingerprint that are compared for all pairs of a tile; the rest only if these are near enough.
-DENSE = 4
+DENSE = 6
+# The share of similar pairs that a radius may lose, and the size up to which its bits are counted exactly.
+LOST = 1e-7
+COUNTED = 32
 TILE_BASE = 64
 # More than there are classes of sizes; a power of two.
 CLASSES = 128
@@ -300,11 +303,40 @@ def grouped(prints: DataFrame, links: DataFrame, node: str = "node") -> DataFram
     return prints.join(found, prints[node] == found["_node"], "left").drop("_node")
 
 
-def wide_radius(similarity: float, parts: int, margin: float = 1.8) -> int:
-    """Bits in which fingerprints of sets with this Jaccard similarity differ, with a margin in standard deviations."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    bits = 64 * parts
-    return math.ceil(bits * share + margin * math.sqrt(bits * share * (1 - share)))
+def flip_share(a: int, b: int, common: int) -> float:
+    """The share of bits in which fingerprints of sets of a and b hashes differ that have so many in common."""
+    def ones(n: int) -> np.ndarray:
+        return np.array([math.comb(n, k) for k in range(n + 1)]) / 2 ** n
+
+    def over_half(n: int) -> np.ndarray:  # by the number of common hashes that have the bit
+        rest = ones(n - common)
+        return np.array([sum(p for k, p in enumerate(rest) if 2 * (held + k) > n) for held in range(common + 1)])
+
+    one, other = over_half(a), over_half(b)
+    return float((ones(common) * (one * (1 - other) + other * (1 - one))).sum())
+
+
+def bits_within(share: float, bits: int) -> int:
+    """The fewest bits that hold all but LOST of what differs in each bit with this probability."""
+    tail = 0.0
+    for k in range(bits, -1, -1):
+        tail += math.comb(bits, k) * share ** k * (1 - share) ** (bits - k)
+        if tail > LOST:
+            return k
+    return 0
+
+
+def wide_radius(similarity: float, parts: int, size: int | None = None) -> int:
+    """Bits in which fingerprints of sets with this Jaccard similarity differ at most, but for a share of LOST.
+
+    `size` is that of the smaller set. Small sets have their bits counted, as sums of few hashes are often equal to a
+    half; for others 5 % are added to the angle of their sums, which is more than what counting gives beyond COUNTED.
+    """
+    least = Fraction(str(similarity))
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi * 1.05
+    if size and size <= COUNTED:
+        share = max(flip_share(size, b, math.ceil(least * (size + b) / (1 + least))) for b in range(size, math.floor(size / least) + 1))
+    return bits_within(share, 64 * parts)
 
 
 def similar_groups(documents: DataFrame, key: str, text: str = "text", shingle: int = 5, similarity: float = 0.8,
@@ -325,7 +357,12 @@ def similar_groups(documents: DataFrame, key: str, text: str = "text", shingle:
         F.min("id").alias("id"), F.first("parts").alias("parts"), F.first("size").alias("size")).withColumn(
         "class", F.floor(F.log(F.col("size").cast("double")) / F.lit(width)).cast("long"))
     nodes = stored(nodes, "sets")
-    radius = wide_radius(similarity, parts)
+    radii: dict[int, int] = {}
+    for size in range(smallest, COUNTED + 2):
+        of = math.floor(math.log(size) / width)
+        radii[of] = max(radii.get(of, 0), wide_radius(similarity, parts, size))
+    table = [radii.get(k, max(radii.values())) for k in range(max(radii) + 1)]
+    radius = F.element_at(F.array(*map(F.lit, table)), F.least(F.pmod("tile_a", F.lit(CLASSES)), F.lit(len(table) - 1)).cast("int") + 1)
     near = tile_links(nodes.withColumn("tile", F.col("class")), [0, 1], radius, parts, WIDE_BLOCK)
     roots = components(near)
     # Classes of a small group are one tile. Groups with equal numbers share tiles, which only costs comparisons.

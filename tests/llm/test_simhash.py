@@ -139,3 +139,21 @@ def test_only_sets_of_enough_similarity_meet(spark, monkeypatch, block):
 def test_equal_sets_with_other_repeat_counts_meet(spark):
     body, line = own_words("b", 300), own_words("l", 20)
     assert component_ids(spark, [" ".join(body + line * 10), " ".join(body + line * 30)]) == [0, 0]
+
+
+@pytest.mark.parametrize("block", [500, 1 << 19])
+def test_every_near_copy_from_the_limit_on_meets(spark, monkeypatch, block):
+    """No exact copies: pairs at 0.8 to 0.85, some of few shingles, each found without tolerance."""
+    monkeypatch.setattr(simhash, "WIDE_BLOCK", block)
+    sizes = [(20, 5), (24, 5), (40, 8), (88, 22), (100, 25), (160, 40), (400, 100), (800, 200)]
+    texts = [t for n in range(800) for t in longer(f"p{n}x", *sizes[n % len(sizes)])]
+    assert component_ids(spark, texts) == [i - i % 2 for i in range(len(texts))]
+
+
+def test_radius_holds_for_every_pair_of_small_sets():
+    for a in range(4, 27):
+        radius = simhash.wide_radius(0.8, 8, a)
+        for b in range(a, 5 * a // 4 + 1):
+            for common in range(1, a + 1):
+                if 10 * common >= 8 * (a + b - common):
+                    assert simhash.bits_within(simhash.flip_share(a, b, common), 512) <= radius
