@@ -350,7 +350,7 @@ def similar_groups(documents: DataFrame, key: str, text: str = "text", shingle:
     least = Fraction(str(similarity))
     prints = stored(set_fingerprints(documents, key, text, shingle, parts), "fingerprints")
     width = -math.log(similarity)
-    smallest = math.ceil((1 + similarity) / (1 - similarity)) if least < 1 else math.inf
+    smallest = math.ceil(least / (1 - least)) if least < 1 else math.inf
     if smallest == math.inf:
         return grouped(prints, prints.select(F.col("node").alias("u"), F.col("node").alias("v"))).select("id", "component_id")
     nodes = prints.filter(F.col("size") >= smallest).groupBy("node").agg(

@@ -157,3 +157,12 @@ def test_radius_holds_for_every_pair_of_small_sets():
             for common in range(1, a + 1):
                 if 10 * common >= 8 * (a + b - common):
                     assert simhash.bits_within(simhash.flip_share(a, b, common), 512) <= radius
+
+
+def test_short_texts_meet_from_four_shingles_on(spark):
+    """One word more (0.9, 0.83 and 0.8), one of nine shingles exchanged (0.8); three shingles and four (0.75) stay apart."""
+    texts = [t for n in range(20) for size in (9, 5, 4) for t in longer(f"s{n}x{size}x", size, 1)]
+    words = own_words("e", 14)
+    texts += [" ".join(words[:13]), " ".join(words[1:]), *longer("t", 3, 1), "one two", "one two", "one two three"]
+    want = [i - i % 2 for i in range(122)] + [122, 123, 124, 124, 126]
+    assert component_ids(spark, texts) == want
