@@ -17,5 +17,5 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 11)} <= {
+    assert "pipeline" in names and {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)} <= {
         n.split("_")[0] for n in names}
