@@ -36,6 +36,7 @@ MAX_BUFFER_BYTES = 1024 * 1024
 
 # Serving.
 FLUSH_LAST_MESSAGES = 10
+FLUSH_INTERVAL_MS = 100
 BATCH_SIZE = 100
 MAX_CHART_POINTS = 100
 WORKLOAD_KEYS = ("sum_workload", "last_workload", "workload")
