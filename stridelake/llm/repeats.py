@@ -4,8 +4,12 @@ A text is taken as bytes. Each window of `width` bytes has an anchor, the smalle
 equal windows have equal anchors. Consecutive windows with the same anchor are one passage. A passage whose anchor has
 no other, and stands in it once, cannot repeat. The passages of the others are read, equal ones are one entry with the earliest place, and entries with
 the same anchor meet in one task, which sorts the suffixes of many anchors at a time (see `suffixes`): windows with a
-common prefix of `width` bytes are the same string, all but the earliest of them are repeats. An anchor with more than
-HOT windows is split: its windows are dealt to several groups by their content.
+common prefix of `width` bytes are the same string, all but the earliest of them are repeats.
+
+An anchor with more than HOT windows is split by where the anchor stands in a window, which equal windows have in common:
+its passages are cut into runs of windows with near places, shorter texts of which many are equal. Equal ones are one
+entry again before anything is sorted, so a passage that stands in very many texts is sorted once. Where even one place
+for each group is not enough, the runs are single windows, and the different ones are dealt out by their content.
 
 Every byte of a repeat is removed; repeats are judged on the input. A place is earlier if it has the smaller document
 id, or is in the same document and starts earlier. Null texts are empty; a null id is larger than all others. Rows
@@ -19,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from xxhash import xxh64_intdigest
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructType
 
@@ -29,8 +34,8 @@ from stridelake.llm.suffixes import later_windows
 
 WIDTH = 100
 ANCHOR = 24
-# Windows of an anchor that one task sorts at most; beyond, they are dealt out by their content.
-HOT = 400_000
+# Windows of an anchor that are sorted in one group at most; beyond, its passages are cut.
+HOT = 50_000
 # Longer passages are cut into pieces of so many windows. Texts that repeat themselves give equal pieces, whose number
 # has many divisors so that it is a multiple of most short periods.
 PIECE = 840
@@ -62,6 +67,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
+def running_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What gives the hash of any run of bytes: a difference of sums, with the power of its place divided out."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * UP.to(len(data)))])
+    return total, DOWN.to(len(data) + 1)
+
+
+def run_hashes(total: np.ndarray, down: np.ndarray, anchor: int) -> np.ndarray:
+    """The hash of every run of `anchor` bytes."""
+    return mixed((total[anchor:] - total[:-anchor]) * down[:len(total) - anchor])
+
+
 def passages(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) -> tuple[np.ndarray, ...]:
     """Passages of the texts that lie in data.
 
@@ -71,10 +87,8 @@ def passages(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) ->
     size = len(data)
     if size < width:
         return nothing
-    # A running sum gives the hash of any run of bytes: a difference, with the power of its place divided out.
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * UP.to(size))])
-    down = DOWN.to(size + 1)
-    least = mixed((total[anchor:] - total[:-anchor]) * down[:size - anchor + 1])
+    total, down = running_sums(data)
+    least = run_hashes(total, down, anchor)
     runs = least
     # Minimum over width - anchor + 1 runs, by doubling.
     span, reach = width - anchor + 1, 1
@@ -225,6 +239,44 @@ def repeats_of(entries: DataFrame, width: int) -> DataFrame:
     return dealt.select("group", "inner", *PLACE, "place", "windows", "passage").mapInArrow(found, schema)
 
 
+def cut_passages(entries: DataFrame, width: int, anchor: int) -> DataFrame:
+    """Passages of hot anchors as runs of windows in which the anchor has near places. Columns as those of entries, and group.
+
+    `parts` is the number of groups that an anchor needs. The place of an anchor in a window is where it stands first, so
+    it depends on the window alone.
+    """
+    schema = StructType([entries.schema[c] for c in PLACE]).add("group", LongType()).add("place", LongType()).add(
+        "windows", LongType()).add("inner", BooleanType()).add("passage", "binary")
+    places = width - anchor + 1
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, groups, starts, counts, texts = [], [], [], [], []
+            columns = [batch.column(c).to_pylist() for c in ("anchor", "windows", "parts")]
+            for i, (body, least, windows, parts) in enumerate(zip(raw_texts(batch.column("passage")), *columns)):
+                stands = np.flatnonzero(run_hashes(*running_sums(np.frombuffer(body, np.uint8)), anchor).view(np.int64) == least)
+                window = np.arange(windows)
+                at = stands[np.searchsorted(stands, window)] - window
+                bucket = at * min(parts, places) // places
+                # Single windows are told apart by their content too, where places alone do not give enough groups.
+                first = window if parts > places else np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+                for start, end in zip(first.tolist(), [*first[1:].tolist(), windows]):
+                    text = body[start:end + width - 1]
+                    share = xxh64_intdigest(text) % -(-parts // places) if parts > places else 0
+                    owner.append(i)
+                    groups.append(xxh64_intdigest(b"%d %d %d" % (least, bucket[start], share)) - (1 << 63))
+                    starts.append(start)
+                    counts.append(end - start)
+                    texts.append(text)
+            of = pa.array(owner, pa.int64())
+            place = batch.column("place").take(of).to_numpy() + np.array(starts, np.int64)
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(c).take(of) for c in PLACE), pa.array(groups, pa.int64()), pa.array(place, pa.int64()),
+                pa.array(counts, pa.int64()), batch.column("inner").take(of), pa.array(texts, pa.binary())], schema.names)
+
+    return entries.select(*PLACE, "anchor", "place", "windows", "parts", "inner", "passage").mapInArrow(cut, schema)
+
+
 def find_repeats(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """Bytes start to end of documents (columns no_id, id, mark) that repeats cover; the rows may overlap."""
     seen = anchors(texts, width, anchor)
@@ -242,17 +294,18 @@ def find_repeats(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot
         "anchor", F.ceil(F.col("n") / hot).alias("parts")), "hot")
     sized = entries.join(hot_anchors, "anchor", "left")
     plain = sized.filter("parts is null").select(F.col("anchor").alias("group"), "inner", *PLACE, "place", "windows", "passage")
-    window = F.expr(f"substring(passage, cast(step + 1 as int), {width})")
-    split = sized.filter("parts is not null").withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1))).withColumn(
-        "passage", window).select(
-        F.xxhash64("anchor", F.pmod(F.xxhash64("passage"), F.col("parts"))).alias("group"), F.lit(False).alias("inner"), *PLACE,
-        (F.col("place") + F.col("step")).alias("place"), F.lit(1).cast("long").alias("windows"), "passage")
-    by_suffix = repeats_of(plain.unionByName(split), width)
+    pieces = stored(cut_passages(sized.filter("parts is not null"), width, anchor), "pieces")
+    piece = ["group", "windows", "passage"]
+    different = pieces.groupBy(*piece).agg(F.min(place).alias("first"), F.max("inner").alias("inner"))
+    split = different.select("group", "inner", "first.*", "windows", "passage")
+    by_suffix = repeats_of(plain.unionByName(split.select(plain.columns)), width)
+    again = pieces.select(*piece, *PLACE, "place").join(different.select(*piece, "first"), piece).filter(
+        place > F.col("first")).select(*PLACE, F.col("place").alias("start"), (F.col("place") + F.col("windows") + (width - 1)).alias("end"))
     firsts = entries.select("anchor", "content", "windows", F.struct(*PLACE, "place").alias("first"))
     copies = found.select("anchor", "content", "windows", *PLACE, "place").join(
         firsts, ["anchor", "content", "windows"]).filter(F.struct(*PLACE, "place") > F.col("first")).select(
         *PLACE, F.col("place").alias("start"), (F.col("place") + F.col("windows") + (width - 1)).alias("end"))
-    return stored(by_suffix.unionByName(copies), "spans")
+    return stored(by_suffix.unionByName(again).unionByName(copies), "spans")
 
 
 def remove_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,

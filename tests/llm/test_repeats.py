@@ -78,3 +78,18 @@ def test_later_windows():
     for r, p, w, i in sorted(everything):
         first.setdefault(w, (r, p))
     assert sorted(zip(owner.tolist(), place.tolist())) == sorted((i, p) for r, p, w, i in everything if first[w] != (r, p))
+
+
+@pytest.mark.parametrize("hot", [40, 1000, 50_000])
+def test_one_passage_in_thousands_of_texts(spark, hot):
+    """A passage that stands in every text, with an edit near it in most."""
+    draw = random.Random(4)
+    common = "".join(draw.choices("abcdefghijklmnop ", k=90))
+    rows = []
+    for i in range(5000):
+        body = list(common)
+        if i % 3:
+            body[draw.randrange(90)] = draw.choice("XYZ")
+        rows.append((i, "".join(draw.choices("abcdefgh ", k=draw.randrange(30))) + "".join(body) + draw.choice(["", "tail of it"])))
+    found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(9), width=24, anchor=8, hot=hot)
+    assert result(found) == want([(i, t.encode()) for i, t in rows], 24)
