@@ -18,9 +18,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stridelake.llm.components import stored
-from stridelake.llm.names import free_name
 
 BLOCK_TOKENS = 65_536
+# Hashes of 32 bits that share all but these bits are a range of a permutation.
+RANGE_BITS = 20
 RESULTS = ("mix_tokens", "mix_weight", "mix_block", "mix_copies")
 LEVELS = 40
 LEVELS_PER_JOB = 4
@@ -115,11 +116,12 @@ def mix(documents: DataFrame, target: Target, budget_share: float | None = 1.0,
     The budget is a share of all tokens, or, if None, what gives every document one copy at least. Columns with the
     names of results (mix_tokens, mix_weight, mix_block, mix_copies) are replaced.
     """
-    kept = [c for c in documents.columns if c not in RESULTS]
-    id_, source_, tokens, block = (free_name(documents, n) for n in ("mix_id", "mix_source", "mix_tokens_", "mix_block_"))
+    kept = [c for c in documents.columns if c.lower() not in RESULTS]
+    # The columns that are kept go by number until the end, so that no name of theirs meets one of ours.
+    id_, source_, tokens, block = "mix_id", "mix_source", "mix_tokens_", "mix_block_"
     rows = documents.select(
-        *kept, F.col(key).alias(id_), F.coalesce(F.col(source).cast("string"), F.lit("")).alias(source_),
-        token_count(F.col(text)).alias(tokens))
+        *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(kept)], F.col(key).alias(id_),
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias(source_), token_count(F.col(text)).alias(tokens))
     counted = stored(rows.select(F.col(id_).alias("id"), F.col(source_).alias("source"), F.col(tokens).alias("tokens")), "counted")
     shares = source_shares(counted)
     total = shares.agg(F.sum("source_tokens")).first()[0] or 0
@@ -131,9 +133,16 @@ def mix(documents: DataFrame, target: Target, budget_share: float | None = 1.0,
 
     # The epoch that is cut has a permutation of its own; here a source has a row per block, not per document.
     sizes = dealt.groupBy("source", "block").agg(F.sum("tokens").alias("size"))
-    permuted = Window.partitionBy("source").orderBy(hashed(F.lit(seed), F.col("epochs"), F.col("source"), F.col("block")), "block")
-    before = F.coalesce(F.sum("size").over(permuted.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    blocks = stored(sizes.join(plan, "source").withColumn("left", F.col("rest") - before).select(
+    # A source may have very many blocks, so its permutation is cut into ranges, and the sums of whole ranges are carried.
+    turn = hashed(F.lit(seed), F.col("epochs"), F.col("source"), F.col("block"))
+    turned = sizes.join(plan, "source").withColumn("turn", turn).withColumn("span", F.shiftright("turn", RANGE_BITS))
+    spans = turned.groupBy("source", "span").agg(F.sum("size").alias("held"))
+    earlier = Window.partitionBy("source").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("source", "span", F.coalesce(F.sum("held").over(earlier), F.lit(0).cast("long")).alias("carried"))
+    permuted = Window.partitionBy("source", "span").orderBy("turn", "block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(permuted), F.lit(0).cast("long"))
+    blocks = stored(turned.withColumn("before", before).join(spans, ["source", "span"]).withColumn(
+        "left", F.col("rest") - F.col("before") - F.col("carried")).select(
         "source", "block", "epochs", "weight", "left", ((F.col("left") > 0) & (F.col("left") >= F.col("size"))).alias("whole")), "blocks")
     # In the one block of a source that is cut, documents go by their own order. Equal rows go together.
     in_block = Window.partitionBy("source", "block").orderBy(hashed(F.lit(seed), F.col("id")), "id", "tokens")
@@ -152,7 +161,7 @@ def mix(documents: DataFrame, target: Target, budget_share: float | None = 1.0,
         & F.col(f"d.{id_}").eqNullSafe(F.col("t._id")) & (F.col(f"d.{tokens}") == F.col(f"t.{tokens}")), "left")
     extra = F.when(F.col("d.whole") | F.col("t._taken"), 1).otherwise(0)
     return decided.select(
-        *[F.col(f"d.`{c}`") for c in kept], F.col(f"d.{tokens}").alias("mix_tokens"), F.col("d.weight").alias("mix_weight"),
+        *[F.col(f"d._in{i}").alias(c) for i, c in enumerate(kept)], F.col(f"d.{tokens}").alias("mix_tokens"), F.col("d.weight").alias("mix_weight"),
         F.col(f"d.{block}").alias("mix_block"), (F.col("d.epochs") + extra).alias("mix_copies"))
 
 

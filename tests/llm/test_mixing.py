@@ -85,5 +85,10 @@ def test_odd_documents(odd_documents, no_documents):
     assert len(again) == len(rows) and all(r.node == "n" for r in again)
     assert {r.mix_tokens for r in again if not (r.text or "").strip()} == {0}
     assert mixing.mix(no_documents, mixing.Target(entropy_share=0.9)).count() == 0
+    inner = ["weight", "epochs", "whole", "blocks", "left", "block", "size", "turn", "span", "id", "_id", "_taken", "tokens", "_in0", "mix_id", "_in1"]
+    clash = odd_documents.select("doc_id", "text", "source", *[F.lit(c).alias(c) for c in inner])
+    named = mixing.mix(clash, mixing.Target(entropy_share=0.9)).collect()
+    assert all(r[c] == c for r in named for c in inner)
+    assert sorted(repr((r.doc_id, r.text, r.mix_copies)) for r in named) == sorted(repr((r.doc_id, r.text, r.mix_copies)) for r in again)
     with pytest.raises(ValueError):
         mixing.mix(odd_documents, mixing.Target())
