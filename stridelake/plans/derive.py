@@ -119,7 +119,11 @@ def event_packets(spark: SparkSession, folder: str) -> DataFrame:
     Packets hold 0 to 4 samples made from the event. Some come with junk before them, with a wrong
     sum, with fewer sample bytes than declared, with more, or with a payload that is too short.
     """
-    r = computed_once(event_readings(spark, folder), k=F.col("k"))
+    return packets_of(event_readings(spark, folder))
+
+
+def packets_of(readings: DataFrame) -> DataFrame:
+    r = computed_once(readings, k=F.col("k"))
     k, seq = F.col("k"), F.col("seq")
     raw = F.round(F.col("predicted_velocity") * 10).cast("long")
     declared = F.floor(k / F.lit(20)).cast("int")
