@@ -36,7 +36,7 @@ from stridelake.llm.packed import raw_texts
 LEAST_DOCUMENTS = 10
 SCALE = 1_000_000_000
 # Different terms that a task counts before it passes them on.
-HELD_TERMS = 200_000
+HELD_TERMS = 500_000
 # Terms and groups that a task compares at a time.
 CHUNK = 4096
 TILE = 128
@@ -119,8 +119,9 @@ def group_counts(counts: DataFrame, kept: DataFrame) -> DataFrame:
     """Occurrences of every kept term in every group that has it; strings only where a digest is shared."""
     held = counts.filter("digest is not null")
     alone = kept.filter("split = ''").select("lang", "digest", "split")
-    plain = held.select(*GROUP, "digest", "n").groupBy(*GROUP, "digest").agg(F.sum("n").alias("n")).join(
-        alone, ["lang", "digest"]).select(*GROUP, "digest", "split", "n")
+    # Most terms are rare; they go before the rows are shuffled to be summed.
+    plain = held.select(*GROUP, "digest", "n").join(alone, ["lang", "digest"]).groupBy(*GROUP, "digest", "split").agg(
+        F.sum("n").alias("n"))
     shared = kept.filter("split <> ''").select("lang", "digest", "split")
     if shared.isEmpty():
         return plain
