@@ -232,7 +232,7 @@ def buffered_batches(messages: DataFrame, order: Sequence[str], size: int | None
 
     A buffer of `size` messages goes out whole; every interval, the last messages in the buffer go out and the others are
     dropped from it, as a live display wants. With `event_ms`, a column of milliseconds and a watermark, intervals are
-    those of that time. Batches by size are counted from 0, those by time are numbered by their interval. All rows of a
+    those of that time, and rows behind the watermark are left out by Spark (see `late`). Batches by size are counted from 0, those by time are numbered by their interval. All rows of a
     batch leave in one trigger.
     """
     if size is None and not interval_ms:
