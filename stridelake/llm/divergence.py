@@ -84,9 +84,9 @@ def count_terms(documents: DataFrame, text: str, lang: str, source: str, digest:
                     held[group] = Counter(), Counter()
                 occurrences, standing = held[group]
                 before = len(occurrences)
-                own = Counter(body.translate(TERM_BYTES).split())
-                standing.update(own.keys())
-                occurrences.update(own)
+                terms = body.translate(TERM_BYTES).split()
+                occurrences.update(terms)
+                standing.update(set(terms))
                 size += len(occurrences) - before + 1
                 if size >= HELD_TERMS:
                     yield from passed_on()
