@@ -6,9 +6,10 @@ share p = 1 + floor(10^9 (count + 2) / (N + 2 V)), where N is the number of occu
 number of kept terms; the language has shares of its own. Two shares differ by floor((p - q)^2 / (p + q)).
 
 Strings come late. Tasks count terms and store one row per term and group of what they held at a time; all that is
-shuffled of it to count, to keep terms and to compare groups is a digest of 64 bits. For kept digests alone, the
-smallest and the largest string are found; where they differ, the digest is shared by several terms, and just its rows
-are counted once more by their strings. Texts of terms are joined back for the highest terms only.
+shuffled of it to count, to keep terms and to compare groups is a digest of 64 bits. A Bloom filter of kept digests,
+of bounded size, passes their rows, of which tasks find the smallest and the largest string before those are shuffled;
+where they differ, the digest is shared by several terms, and just its rows are counted once more by their strings.
+Texts of terms are joined back for the highest terms only.
 
 Groups are compared in tiles: a task has the shares of two tiles of groups for CHUNK terms at most. A pair of groups is
 a row of the result, so the pairs are as many as asked for; terms that neither group of a tile has are not listed but
@@ -30,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from stridelake.llm import bloom
 from stridelake.llm.components import stored
 from stridelake.llm.packed import raw_texts
 
@@ -44,6 +46,7 @@ TILE = 128
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 COUNTS = "lang string, source string, digest long, term string, n long, docs long"
 GROUP = ["lang", "source"]
+KEY = ["lang", "digest"]
 TERM = ["lang", "digest", "split"]
 
 
@@ -96,31 +99,44 @@ def count_terms(documents: DataFrame, text: str, lang: str, source: str, digest:
     return rows.mapInArrow(counted, COUNTS)
 
 
-def kept_terms(counts: DataFrame, least: int) -> DataFrame:
+def likely_terms(counts: DataFrame, least: int) -> DataFrame:
+    """Languages and digests with enough documents: those of all kept terms, and of terms that only reach it together."""
+    held = counts.filter("digest is not null")
+    summed = held.groupBy(*KEY).agg(F.sum("docs").alias("docs"))
+    return stored(summed.filter(F.col("docs") >= least).select(*KEY), "divergence-likely")
+
+
+def rows_of(counts: DataFrame, likely: DataFrame) -> DataFrame:
+    """The rows that may be of likely digests: a Bloom filter of bounded size lets most others go before any shuffle.
+
+    What it lets pass without reason is removed by the exact joins behind it.
+    """
+    blocks = bloom.block_count(likely.count())
+    held = counts.filter("digest is not null")
+    return bloom.possible_hits(held, KEY, stored(bloom.bloom_blocks(likely, KEY, blocks), "divergence-bloom"), blocks)
+
+
+def kept_terms(held: DataFrame, likely: DataFrame, least: int) -> DataFrame:
     """Language, digest and split of every kept term, with its text.
 
     `split` is empty where a digest has one term, which is nearly always, and is the term itself where it has several.
+    Only the smallest and the largest string that a task has of a digest are shuffled.
     """
-    held = counts.filter("digest is not null")
-    likely = held.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least).select("lang", "digest")
-    likely = stored(likely, "divergence-likely")
-    spans = stored(held.select("lang", "digest", "term").join(likely, ["lang", "digest"], "left_semi").groupBy(
-        "lang", "digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "divergence-spans")
+    ends = held.groupBy(*KEY).agg(F.min("term").alias("low"), F.max("term").alias("high"))
+    spans = stored(ends.join(likely, KEY, "left_semi"), "divergence-spans")
     alone = spans.filter("low = high").select("lang", "digest", F.lit("").alias("split"), F.col("low").alias("term"))
     shared = spans.filter("low <> high").select("lang", "digest")
     if shared.isEmpty():
         return alone
-    apart = held.join(shared, ["lang", "digest"], "left_semi").groupBy("lang", "digest", "term").agg(
+    apart = held.join(shared, KEY, "left_semi").groupBy("lang", "digest", "term").agg(
         F.sum("docs").alias("docs")).filter(F.col("docs") >= least)
     return stored(alone.unionByName(apart.select("lang", "digest", F.col("term").alias("split"), "term")), "divergence-kept")
 
 
-def group_counts(counts: DataFrame, kept: DataFrame) -> DataFrame:
+def group_counts(held: DataFrame, kept: DataFrame) -> DataFrame:
     """Occurrences of every kept term in every group that has it; strings only where a digest is shared."""
-    held = counts.filter("digest is not null")
     alone = kept.filter("split = ''").select("lang", "digest", "split")
-    # Most terms are rare; they go before the rows are shuffled to be summed.
-    plain = held.select(*GROUP, "digest", "n").join(alone, ["lang", "digest"]).groupBy(*GROUP, "digest", "split").agg(
+    plain = held.select(*GROUP, "digest", "n").join(alone, KEY).groupBy(*GROUP, "digest", "split").agg(
         F.sum("n").alias("n"))
     shared = kept.filter("split <> ''").select("lang", "digest", "split")
     if shared.isEmpty():
@@ -227,8 +243,10 @@ def audit(documents: DataFrame, text: str = "text", lang: str = "lang", source:
           least: int = LEAST_DOCUMENTS, most: int = 10, digest: Callable[[bytes], int] = digest64) -> DataFrame:
     """Lang, source, part, item, value and rank: all other sources (part `pair`), and the highest terms (part `term`)."""
     counts = stored(count_terms(documents, text, lang, source, digest), "divergence-counts")
-    kept = kept_terms(counts, least)
-    found = stored(group_counts(counts, kept), "divergence-found")
+    likely = likely_terms(counts, least)
+    held = rows_of(counts, likely)
+    kept = kept_terms(held, likely, least)
+    found = stored(group_counts(held, kept), "divergence-found")
     groups, shares = with_shares(counts, kept, found)
     columns = [*GROUP, "part", "item", "value", "rank"]
     return ranked(source_pairs(groups, shares)).select(*columns).unionByName(highest_terms(shares, kept, most).select(*columns))
