@@ -44,7 +44,7 @@ CHUNK = 4096
 TILE = 128
 # A-Z to a-z; every byte that is no part of a term becomes a space.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-COUNTS = "lang string, source string, digest long, term string, n long, docs long"
+COUNTS = "lang string, source string, digest long, term string, n long, docs long, first boolean"
 GROUP = ["lang", "source"]
 KEY = ["lang", "digest"]
 TERM = ["lang", "digest", "split"]
@@ -58,7 +58,8 @@ def digest64(term: bytes) -> int:
 def count_terms(documents: DataFrame, text: str, lang: str, source: str, digest: Callable[[bytes], int]) -> DataFrame:
     """Rows of language, source, digest, term, occurrences and documents; a term may have several rows.
 
-    A group has a row without a digest, so that it is known even if it has no terms.
+    A group has a row without a digest, so that it is known even if it has no terms. Of the rows that a task has of a
+    term in a language, one at a time is marked as first.
     """
     rows = documents.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
@@ -69,16 +70,20 @@ def count_terms(documents: DataFrame, text: str, lang: str, source: str, digest:
         size = 0
 
         def passed_on() -> Iterator[pa.RecordBatch]:
+            seen: dict[str, set[bytes]] = {}
             for (lang_, source_), (occurrences, standing) in held.items():
                 terms = list(occurrences)
                 count = len(terms) + 1
+                known = seen.setdefault(lang_, set())
+                first = [t not in known for t in terms]
+                known.update(terms)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([lang_] * count), pa.array([source_] * count),
                     pa.array([None, *map(digest, terms)], pa.int64()),
                     pa.array([None, *(t.decode() for t in terms)], pa.string()),
                     pa.array([0, *map(occurrences.__getitem__, terms)], pa.int64()),
-                    pa.array([0, *map(standing.__getitem__, terms)], pa.int64())],
-                    ["lang", "source", "digest", "term", "n", "docs"])
+                    pa.array([0, *map(standing.__getitem__, terms)], pa.int64()), pa.array([False, *first])],
+                    ["lang", "source", "digest", "term", "n", "docs", "first"])
 
         for batch in batches:
             groups = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
@@ -120,9 +125,9 @@ def kept_terms(held: DataFrame, likely: DataFrame, least: int) -> DataFrame:
     """Language, digest and split of every kept term, with its text.
 
     `split` is empty where a digest has one term, which is nearly always, and is the term itself where it has several.
-    Only the smallest and the largest string that a task has of a digest are shuffled.
+    Only the smallest and the largest string that a task has of a digest are shuffled, and found among first rows.
     """
-    ends = held.groupBy(*KEY).agg(F.min("term").alias("low"), F.max("term").alias("high"))
+    ends = held.filter("first").groupBy(*KEY).agg(F.min("term").alias("low"), F.max("term").alias("high"))
     spans = stored(ends.join(likely, KEY, "left_semi"), "divergence-spans")
     alone = spans.filter("low = high").select("lang", "digest", F.lit("").alias("split"), F.col("low").alias("term"))
     shared = spans.filter("low <> high").select("lang", "digest")
