@@ -456,10 +456,13 @@ LISTS = TYPES + """,
 
 def message_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Messages of 0 to 4 numbers, with the event type as a sensor that has a fifth of all rows."""
-    r = derive.event_readings(spark, folder, "event_type")
+    return lists_of(derive.event_readings(spark, folder, "event_type"))
+
+
+def lists_of(readings: DataFrame) -> DataFrame:
     count = F.floor(F.col("k") / F.lit(20)).cast("int")
     numbers = F.transform(F.slice(F.sequence(F.lit(0), F.lit(4)), F.lit(1), count), lambda i: F.col("predicted_velocity") + i)
-    return r.select("seq", "sensor_id", numbers.alias("samples"))
+    return readings.select("seq", "sensor_id", numbers.alias("samples"))
 
 
 def window_summary(df: DataFrame) -> DataFrame:
