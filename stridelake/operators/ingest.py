@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from stridelake.functions.motion import coerced_number
 from stridelake.operators.once import computed_once
 from stridelake.schemas import INPUT_RECORD
 
@@ -101,3 +104,12 @@ def input_records(messages: DataFrame, on_error: str = "quarantine") -> DataFram
 def with_sensor(df: DataFrame) -> DataFrame:
     """Drop messages that name no sensor."""
     return df.filter(F.col("sensor_id").isNotNull() & (F.col("sensor_id") != ""))
+
+
+def required_numbers(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows with these columns as doubles, 0.0 where a value is no number; an error names the columns that are not there."""
+    held = {c.lower() for c in rows.columns}
+    missing = [c for c in columns if c.lower() not in held]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return rows.withColumns({c: coerced_number(F.col(f"`{c}`")) for c in columns})

@@ -172,7 +172,7 @@ def normalize_session_key(spark, folder):
  ELSE CAST(value AS VARCHAR) END AS DOUBLE), 0.0) AS number FROM events""")
 def numeric_coerce(spark, folder):
     text = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(F.col("value").cast("string"))
-    return table(spark, folder, "events").select("event_id", motion.coerced_number(text).alias("number"))
+    return ingest.required_numbers(table(spark, folder, "events").select("event_id", text.alias("number")), ["number"])
 
 
 # ---- Scalars ------------------------------------------------------------------------------------

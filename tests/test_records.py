@@ -191,3 +191,12 @@ def test_whole_numbers_as_texts_and_with_fractions(spark):
     found = {r.value: r.record.header_timestamp_us for r in ingest.good_rows(parsed).collect()}
     assert found == dict(zip(good, [123, 12, 1704067200000001, None]))
     assert sorted(r.payload for r in ingest.quarantine(parsed).collect()) == sorted(bad)
+
+
+def test_required_columns_are_named_when_missing(spark):
+    df = spark.createDataFrame([("1.5", None, 3, "x"), ("no", "NaN", None, "y")], "`a.b` string, T string, n int, other string")
+    got = ingest.required_numbers(df, ["a.b", "t", "n"])
+    assert [tuple(r) for r in got.collect()] == [(1.5, 0.0, 3.0, "x"), (0.0, 0.0, 0.0, "y")]
+    assert ingest.required_numbers(df.limit(0), ["n"]).count() == 0
+    with pytest.raises(ValueError, match="gone, Missing too$"):
+        ingest.required_numbers(df, ["n", "gone", "Missing too"])
