@@ -36,6 +36,22 @@ def upsert_sessions(registry: DataFrame, changes: DataFrame, now: Column, order:
     return joined.select(*columns)
 
 
+def merge_sessions(registry: DataFrame, changes: DataFrame, now: Column, order: str, deleted: str | None = None) -> DataFrame:
+    """Registry after upserts and deletions in their order.
+
+    A session whose last change is marked by `deleted` is gone. One that was deleted and comes again is a new session:
+    its insert time is new, and fields that only the registry has are null. A null mark is no deletion.
+    """
+    if deleted is None:
+        return upsert_sessions(registry, changes, now, order)
+    marked = changes.withColumn(deleted, F.coalesce(deleted, F.lit(False)))
+    fields = [c for c in changes.columns if c not in (ID, deleted)]
+    last = marked.groupBy(ID).agg(
+        F.max_by(F.struct(*fields), order).alias("_row"), F.max_by(deleted, order).alias("_gone"), F.bool_or(deleted).alias("_cut"))
+    kept = delete_sessions(registry, last.filter("_cut"))
+    return upsert_sessions(kept, last.filter("not _gone").select(ID, "_row.*"), now, order)
+
+
 def list_sessions(registry: DataFrame, active_only: bool = False) -> DataFrame:
     return registry.filter(F.col("ended_at").isNull()) if active_only else registry
 

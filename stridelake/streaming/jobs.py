@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stridelake.operators import ingest, outputs, sessions, transform
-from stridelake.operators.registry import ID
+from stridelake.operators.registry import ID, upsert_sessions
 from stridelake.schemas import AXIS_FIELDS
 from stridelake.settings import MICROS_PER_SECOND, SAMPLING_PERIOD_S, JobOptions
-from stridelake.sources import files, kafka
+from stridelake.sources import buckets as registry_table, files, kafka
 from stridelake.streaming.keyed import SAMPLE_ROW, TOTAL_ROW, sessions_and_scores
 
 Writer = Callable[[DataFrame, int], None]
@@ -128,7 +128,7 @@ def start_quarantine(messages: DataFrame, checkpoint: str, trigger: dict, write:
 def start_all(spark: SparkSession, options: JobOptions, folder: str, make_scorer=None) -> list[StreamingQuery]:
     """The whole job on Kafka; topics and the Parquet path that are not set are left out.
 
-    Payloads that cannot be read, and changes of the session registry, go to folders below `folder`.
+    Payloads that cannot be read, and the session registry, go to folders below `folder`.
     """
     messages = watermarked(kafka.read_topic(spark, options), options.max_out_of_orderness)
     topic = lambda name: into_topic(name, options) if name else None
@@ -137,7 +137,7 @@ def start_all(spark: SparkSession, options: JobOptions, folder: str, make_scorer
         quarantine=into_folder(f"{folder}/quarantine"), records=topic(options.output_topic),
         new_sessions=topic(options.session_topic), totals=topic(options.aggregate_topic),
         flat=into_folder(options.parquet_path, "dt") if options.parquet_path else None,
-        registry=session_changes(f"{folder}/registry"), make_scorer=make_scorer)
+        registry=folded_registry(f"{folder}/registry"), make_scorer=make_scorer)
 
 
 def session_changes(path: str) -> Writer:
@@ -146,6 +146,57 @@ def session_changes(path: str) -> Writer:
     return lambda batch, batch_id: put(batch.withColumn("changed_ts", F.current_timestamp()), batch_id)
 
 
+def folded_registry(path: str, buckets: int = 256, every: int = 600) -> Writer:
+    """New sessions into a change log, and every so many batches from there into the stored registry.
+
+    The log takes a batch at the cost of its own rows; a fold rewrites the buckets of all sessions since the last one, and
+    then drops what the fold before had taken from the log. Insert and modify times are those of the fold. `log` and
+    `table` are folders below the path; `registry_now` has both together.
+    """
+    put = session_changes(f"{path}/log")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        put(batch, batch_id)
+        if batch_id % every == every - 1:
+            fold_changes(batch.sparkSession, path, batch_id, buckets)
+            registry_table.drop_old(batch.sparkSession, f"{path}/table")
+    return write
+
+
+def _changes_after(spark: SparkSession, path: str, batch: int) -> DataFrame:
+    """Changes of the log's later batches; only their folders are read."""
+    log = spark.read.parquet(f"{path}/log").filter(F.col("batch") > batch)
+    return log.withColumn("changed_at", F.struct("batch", "changed_ts")).drop("batch")
+
+
+def fold_changes(spark: SparkSession, path: str, batch_id: int, buckets: int = 256) -> list[int]:
+    """Apply the log up to a batch to the stored registry, which is made if there is none, and return the rewritten buckets."""
+    table = f"{path}/table"
+    if not registry_table.versions(spark, table):
+        none = _changes_after(spark, path, -1).drop("changed_at", "changed_ts").limit(0)
+        registry_table.create(none.withColumns({
+            "inserted_ts": F.lit(None).cast("timestamp"), "modified_ts": F.lit(None).cast("timestamp")}), table, buckets)
+    applied = registry_table.read_version(spark, table).batch
+    changes = _changes_after(spark, path, applied).filter(F.col("changed_at.batch") <= batch_id)
+    touched = registry_table.merge(changes.drop("changed_ts"), table, batch_id, "changed_at")
+    for number in registry_table.numbers(registry_table.names(spark, f"{path}/log"), "batch="):
+        if number <= applied:
+            registry_table.drop(spark, f"{path}/log/batch={number}")
+    return touched
+
+
+def registry_now(spark: SparkSession, path: str) -> DataFrame:
+    """The stored registry with the changes that were not folded yet."""
+    table = f"{path}/table"
+    if not registry_table.versions(spark, table):
+        return registry_from_changes(spark.read.parquet(f"{path}/log"))
+    version = registry_table.read_version(spark, table)
+    if not registry_table.numbers(registry_table.names(spark, f"{path}/log"), "batch="):
+        return registry_table.read(spark, table, version.number)
+    later = _changes_after(spark, path, version.batch).drop("changed_ts")
+    return upsert_sessions(registry_table.read(spark, table, version.number), later, F.current_timestamp(), "changed_at")
+
+
 def registry_from_changes(changes: DataFrame) -> DataFrame:
     """One document per session: its first change is the insert time and its last one the modify time."""
     fields = [c for c in changes.columns if c not in (ID, "changed_ts", "batch")]
