@@ -14,7 +14,7 @@ from stridelake.operators import (
 )
 from stridelake.plans import derive, lookups
 from stridelake.session import new_folder
-from stridelake.sources import files
+from stridelake.sources import files, sorted_samples
 from stridelake.sources.files import table
 from stridelake.streaming import jobs, keyed
 
@@ -747,21 +747,29 @@ def packet_status_counts(spark, folder):
 
 # ---- Stored samples and lookups -----------------------------------------------------------------
 
-def stored_samples(spark: SparkSession, folder: str, by_sensor: bool = False) -> DataFrame:
-    """Readings written to the shared folder, and read back from there: by date, or by date and event type."""
-    r = derive.event_readings(spark, folder, "event_type" if by_sensor else "user_id")
+def dated_samples(spark: SparkSession, folder: str, sensor: str = "user_id") -> DataFrame:
+    r = derive.event_readings(spark, folder, sensor)
     axes = {name: F.lit(None).cast("double") for name in
             ("acc_y", "acc_z", "gyro_x", "gyro_y", "gyro_z", "mag_x", "mag_y", "mag_z", "accl_mag", "gyro_mag")}
     rows = r.select(
         "sensor_id", (F.col("kafka_timestamp") / 1e6).alias("cur_timestamp"),
         (F.col("kafka_timestamp") / 1e6).alias("kafka_timestamp"), F.col("k").cast("double").alias("acc_x"),
         "predicted_velocity").withColumns(axes)
+    return files.with_date(rows, F.timestamp_seconds(F.col("cur_timestamp")))
+
+
+def stored_samples(spark: SparkSession, folder: str, by_sensor: bool = False) -> DataFrame:
+    """Readings written to the shared folder, and read back from there: by date, or by date and event type."""
     path = new_folder(spark, "samples")
-    dated = files.with_date(rows, F.timestamp_seconds(F.col("cur_timestamp")))
-    files.write_samples(dated, path, by_sensor)
+    files.write_samples(dated_samples(spark, folder, "event_type" if by_sensor else "user_id"), path, by_sensor)
     return files.read_samples(spark, path)
 
 
+def lookup_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """The readings in the layout for lookups, which the application's first lookup of these tables writes."""
+    return sorted_samples.stored_once(dated_samples(spark, folder), "lookups")
+
+
 @query("daily_partition_counts", "SELECT CAST(ts AS DATE) AS dt, count(*) AS \"rows\" FROM events GROUP BY 1")
 def daily_partition_counts(spark, folder):
     return lookups.daily_counts(stored_samples(spark, folder))
@@ -775,21 +783,21 @@ def sensor_partition_counts(spark, folder):
 @query("sensor_day_lookup", """SELECT epoch_us(ts) / 1000000.0 AS cur_timestamp, value AS predicted_velocity FROM events
  WHERE user_id = 8 AND CAST(ts AS DATE) = DATE '2024-01-05'""")
 def sensor_day_lookup(spark, folder):
-    found = lookups.sensor_on_date(stored_samples(spark, folder), "8", "2024-01-05")
+    found = lookups.sensor_on_date(lookup_samples(spark, folder), "8", "2024-01-05")
     return found.select("cur_timestamp", "predicted_velocity")
 
 
 @query("sensor_day_first_rows", """SELECT epoch_us(ts) / 1000000.0 AS cur_timestamp, value AS predicted_velocity FROM events
  WHERE CAST(ts AS DATE) = DATE '2024-01-05' ORDER BY event_id LIMIT 5""")
 def sensor_day_first_rows(spark, folder):
-    rows = stored_samples(spark, folder)
+    rows = lookup_samples(spark, folder)
     return lookups.first_rows(rows.filter(F.col("dt") == F.lit("2024-01-05").cast("date"))).select(
         "cur_timestamp", "predicted_velocity")
 
 
 @query("sensor_series", f"""WITH {SENS} SELECT kafka_timestamp AS micros, v AS predicted_velocity, CAST(k AS DOUBLE) AS acc_x FROM sens WHERE sensor_id = '8'""")
 def sensor_series(spark, folder):
-    series = lookups.sensor_series(stored_samples(spark, folder), "8")
+    series = lookups.sensor_series(lookup_samples(spark, folder), "8")
     return series.select(F.unix_micros("datetime").alias("micros"), "predicted_velocity", "acc_x")
 
 

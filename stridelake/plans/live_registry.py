@@ -11,7 +11,7 @@ from stridelake.session import new_folder
 from stridelake.sources import buckets, files
 from stridelake.streaming import timers
 
-BUCKETS = 64
+BUCKETS = 32
 
 
 @query("stream_session_registry", f"""WITH {REG},

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import DateType, StructField, StructType
 
 from stridelake.schemas import FLAT_RECORD
 
+DATED_RECORD = StructType(FLAT_RECORD.fields + [StructField("dt", DateType())])
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -17,7 +20,7 @@ def read_samples(spark: SparkSession, path: str, date: str | None = None, plain_
     if plain_folders:
         rows = spark.read.parquet(f"{path}/{date}" if date else f"{path}/*")
         return rows.withColumn("dt", F.lit(date).cast("date")) if date else rows
-    rows = spark.read.schema(FLAT_RECORD.add("dt", "date")).parquet(path)
+    rows = spark.read.schema(DATED_RECORD).parquet(path)
     return rows.filter(F.col("dt") == F.lit(date).cast("date")) if date else rows
 
 
