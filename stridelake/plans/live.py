@@ -25,14 +25,17 @@ FLUSH_MS = 300
 
 
 def in_slices(rows: DataFrame, order: str, path: str, most: int = ROWS_PER_TRIGGER, least: int = LEAST_TRIGGERS) -> None:
-    """Store rows as files of rising order, one after the other, as a stream reads files in the order they came."""
+    """Store rows as files of rising order, in the order of their times, as a stream reads files in the order they came.
+
+    The rows are dealt to all slices in one shuffle, with a task for each; slices without rows have no file.
+    """
     low, high, count = rows.agg(F.min(order), F.max(order), F.count("*")).first()
     slices = max(least, -(-count // most))
     width = ((high or 0) - (low or 0)) // slices + 1
-    for i in range(slices):
-        begin = (low or 0) + i * width
-        part = rows.filter((F.col(order) >= begin) & (F.col(order) < begin + width))
-        part.coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(path)
+    number = F.expr(f"int((`{order}` - {low or 0}) div {width})")
+    dealt = rows.filter(F.col(order).isNotNull()).repartitionById(slices, number)
+    dealt.sortWithinPartitions(order).write.parquet(path)
+    files.date_in_order(rows.sparkSession, path)
 
 
 def replayed(spark: SparkSession, folder: str, name: str, order: str = "event_id") -> tuple[DataFrame, str]:
@@ -41,7 +44,12 @@ def replayed(spark: SparkSession, folder: str, name: str, order: str = "event_id
     own = timers.state_session(spark)
     events = files.table(own, folder, "events")
     in_slices(events, order, f"{path}/in")
-    return files.stream_files(own, f"{path}/in", events.schema, files_per_trigger=1), path
+    return spread(files.stream_files(own, f"{path}/in", events.schema, files_per_trigger=1)), path
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows of a trigger over all tasks: a file is read by one, which would do all that comes before the first shuffle."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def run(rows: DataFrame, path: str, write=None, timed: bool = True) -> None:

@@ -91,11 +91,13 @@ def start_motion(
     """Sessions and scores with up to five outputs, and a query of their own for payloads that cannot be read.
 
     Outputs are record documents, new-session documents, flat samples for storage, session totals, and the
-    registry's changes. The batch is kept while they are written. `quarantine` must be given; None drops what
+    registry's changes. The batch is kept while several are written. `quarantine` must be given; None drops what
     cannot be read.
     """
+    several = sum(w is not None for w in (records, new_sessions, flat, totals, registry)) > 1
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.persist() if several else batch
         try:
             samples = batch.filter(F.col("kind") == SAMPLE_ROW)
             if flat:
@@ -109,7 +111,8 @@ def start_motion(
             if totals:
                 totals(outputs.aggregate_json(session_totals_so_far(batch)), batch_id)
         finally:
-            batch.unpersist()
+            if several:
+                batch.unpersist()
 
     motion = (
         motion_rows(messages, options, make_scorer).writeStream.outputMode("append").foreachBatch(write)

@@ -47,6 +47,32 @@ def test_slices_keep_order_and_rows(own, readings, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_slices_are_stored_in_one_pass(own, tmp_path):
+    """However many slices there are, the rows are read twice: for the ends of the order, and to be dealt."""
+    read = own.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            read.add(len(part))
+            yield part
+
+    rows_in = own.createDataFrame([(i * 7 % 500 if i else None,) for i in range(500)], "seq long").mapInPandas(counted, "seq long")
+    live.in_slices(rows_in, "seq", f"{tmp_path}/in", most=10)
+    files = sorted(glob.glob(f"{tmp_path}/in/part-*"), key=os.path.getmtime)
+    spans = [own.read.parquet(f).agg(F.min("seq"), F.max("seq"), F.count("*")).first() for f in files]
+    assert len(files) == 50 and sum(s[2] for s in spans) == 499 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert read.value <= 1000
+
+
+def test_a_trigger_is_spread_over_all_tasks(own, tmp_path):
+    """What comes before the first shuffle is not left to the task that reads the trigger's file."""
+    events, path = live.replayed(own, SMALL, "spread")
+    tasks = []
+    live.run(events.select("event_id"), f"{tmp_path}", lambda batch, number: tasks.append(
+        batch.groupBy(F.spark_partition_id()).count().count()), timed=False)
+    assert len(tasks) == live.LEAST_TRIGGERS and min(tasks) > 1
+
+
 def test_scores_do_not_depend_on_flushes(own, readings, tmp_path):
     samples = readings.select("seq", "sensor_id", (F.col("predicted_velocity") / 500).alias("accl_mag"))
     model = LstmScorer.seeded(ModelParams(hidden_dim=3, feature_cols=("accl_mag",)), dtype="float64")
