@@ -130,8 +130,12 @@ def _vector(raw: Column, at: Column, factor: float) -> Column:
         (F.get(raw, at + i) * F.lit(factor)).alias(axis) for i, axis in enumerate(("x", "y", "z"))])
 
 
-def packets(found: DataFrame) -> DataFrame:
-    """Packets with scaled samples, from the frames that can be read."""
+def readable(found: DataFrame) -> DataFrame:
+    return found.filter(F.col("status").isin(*KEPT_STATUSES))
+
+
+def packets(found: DataFrame, *keep: str) -> DataFrame:
+    """Packets with scaled samples, from the frames that can be read; `keep` names more columns of the frames."""
     raw = F.col("_raw")
 
     def sample(j: Column) -> Column:
@@ -147,10 +151,10 @@ def packets(found: DataFrame) -> DataFrame:
     places = F.when(F.col("num_samples_in_packet") > 0, F.sequence(F.lit(0), F.col("num_samples_in_packet") - 1))
     samples = F.coalesce(F.transform(places, sample), F.array().cast(T.ArrayType(PACKET_SAMPLE)))
     return (
-        found.filter(F.col("status").isin(*KEPT_STATUSES))
+        readable(found)
         .withColumn("_raw", raw_values("body"))
         .select("sensor_id", "arrival", "frame_no", "header_timestamp_us", "base_sample_number",
-                "num_samples_in_packet", samples.cast(T.ArrayType(PACKET_SAMPLE)).alias("samples"))
+                "num_samples_in_packet", samples.cast(T.ArrayType(PACKET_SAMPLE)).alias("samples"), *keep)
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from stridelake.operators.packets import FRAMES, feed, frame_rows, packets
+from stridelake.operators.packets import FRAMES, feed, frame_rows, packets, readable
 from stridelake.settings import MAX_BUFFER_BYTES, SESSION_GAP_US
 from stridelake.streaming.keyed import _in_order, sessions_and_scores
 
@@ -42,9 +42,11 @@ def buffered_frames(messages: DataFrame, arrival: str, limit: int = MAX_BUFFER_B
 
 
 def packet_sessions(messages: DataFrame, arrival: str, gap_us: int = SESSION_GAP_US, limit: int = MAX_BUFFER_BYTES) -> DataFrame:
-    """Readable packets with their sessions, in one query: bytes to frames, frames to packets, packets to sessions.
+    """Readable packets with their sessions, in one query: bytes to frames, readable frames to sessions, then to samples.
 
-    Both states are keyed by the sensor. The session's time is that of the packet, its order that of arrival.
+    Both states are keyed by the sensor. The session's time is that of the packet, its order that of arrival. Samples are
+    read last, so that the state is handed their bytes and not nested rows.
     """
-    found = packets(buffered_frames(messages, arrival, limit))
-    return sessions_and_scores(found, ["arrival", "frame_no"], gap_us, ts="header_timestamp_us")
+    framed = readable(buffered_frames(messages, arrival, limit))
+    found = sessions_and_scores(framed, ["arrival", "frame_no"], gap_us, ts="header_timestamp_us")
+    return packets(found, "session_id_part", "sensor_session_id", "is_new_session")
