@@ -4,8 +4,8 @@ Words are 0-9, a-z and bytes over 127 after A-Z is lower-cased. A window is `wid
 item of fewer words, but not none, is one window. The documents are indexed in segments of bounded size: for each
 term of the benchmark, its places in the segment in order. Segments are stored in the shared folder. A window is
 looked up from its rarest term over all documents: the places of its terms, each less its place in the window, are
-intersected from the rarest to the most frequent. What is left is where the whole window stands. With `slop`, windows
-laid end to end through an item are also looked for with every word at most so many places off; such items are near.
+intersected from the rarest to the most frequent. What is left is where the whole window stands. With `slop`, every
+window is also looked for with each word at most so many places off; items of such windows are near.
 
 The documents are indexed once, for the terms of the whole benchmark; its vocabulary is held by the driver and the tasks.
 A benchmark of more than SLICE_BYTES is looked up in slices, so the windows that a task holds at a time are bounded. The
@@ -115,11 +115,11 @@ class Postings:
         return found[found >= 0]
 
 
-def look_up(segments: DataFrame, windows: list[tuple[list[tuple[int, int]], list[int], list[int]]], items: list[str],
+def look_up(segments: DataFrame, windows: list[tuple[list[tuple[int, int]], list[int]]], items: list[str],
             slop: int) -> DataFrame:
     """Every document with the runs of words that windows cover, the items found, and the items that are near.
 
-    A window has its lookups, the numbers of the items that hold it, and those for which it is laid end to end.
+    A window has its lookups and the numbers of the items that hold it.
     """
     key_type = segments.schema["keys"].dataType.elementType
     schema = StructType().add("segment", StringType()).add("row", LongType()).add("key", key_type).add(
@@ -136,17 +136,17 @@ def look_up(segments: DataFrame, windows: list[tuple[list[tuple[int, int]], list
                 postings = Postings(terms, sizes, steps.as_py())
                 change = np.zeros(int(offsets[-1] + counts[-1]) + GAP + 1, np.int64)
                 exact, near = set(), set()
-                for lookups, holders, laid in windows:
+                for lookups, holders in windows:
                     found = postings.starts(lookups)
                     if len(found):
                         np.add.at(change, found, 1)
                         np.add.at(change, found + len(lookups), -1)
                         for d in np.unique(np.searchsorted(offsets, found, side="right") - 1).tolist():
                             exact.update((d, h) for h in holders)
-                    if slop and laid:
+                    if slop:
                         found = postings.starts(lookups, slop)
                         for d in np.unique(np.searchsorted(offsets, found, side="right") - 1).tolist():
-                            near.update((d, h) for h in laid)
+                            near.update((d, h) for h in holders)
                 hit = np.cumsum(change) > 0
                 edges = np.diff(hit.astype(np.int8), prepend=0)
                 begin, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
@@ -229,18 +229,14 @@ def _one_slice(segments: DataFrame, found: list[tuple[str, bytes]], ids: dict[by
     items = sorted({item for item, _ in found})
     number = {item: i for i, item in enumerate(items)}
     holders: dict[tuple[bytes, ...], set[int]] = {}
-    laid: dict[tuple[bytes, ...], set[int]] = {}
     for item, body in found:
-        windows = windows_of(words_of(body), width)
-        for i, window in enumerate(windows):
+        for window in windows_of(words_of(body), width):
             holders.setdefault(window, set()).add(number[item])
-            if i % width == 0 or i == len(windows) - 1:
-                laid.setdefault(window, set()).add(number[item])
     plan = []
     for window, numbers in holders.items():
         lookups = sorted(((ids[w], place) for place, w in enumerate(window)), key=lambda x: (counts[x[0]], x))
         if counts[lookups[0][0]]:
-            plan.append((lookups, sorted(numbers), sorted(laid.get(window, ()))))
+            plan.append((lookups, sorted(numbers)))
     return look_up(segments, plan, items, slop)
 
 

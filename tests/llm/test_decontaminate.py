@@ -50,6 +50,16 @@ def test_near_matches(spark):
     assert {i for i, r in found.items() if list(r.near_items) == ["9"]} == {1, 2}
 
 
+def test_near_matches_at_every_place(spark):
+    """A near copy of an item's middle: none of the windows laid end to end from its start stands there."""
+    words = [f"w{i}" for i in range(35)]
+    docs = [(i, " ".join([*words[i:i + 5], "and", *words[i + 5:i + 10]])) for i in range(26)]
+    found = decontaminate.find_passages(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(9, " ".join(words))], "item_id long, text string"),
+        slop=2).collect()
+    assert len(found) == 26 and all(list(r.near_items) == ["9"] and not r["items"] for r in found)
+
+
 def test_odd_documents(spark, odd_documents, no_documents):
     benchmark = spark.createDataFrame([(1, "ab " * 12), (2, "xxx"), (3, "漢字 кириллица")], "item_id long, text string")
     rows = decontaminate.find_passages(odd_documents, benchmark).withColumn("hit", decontaminate.hit_words()).collect()
