@@ -36,21 +36,20 @@ def stream_session_registry(spark, folder):
     in_slices(lines, "day", f"{path}/in")
     known = files.table(own, folder, "orders").select("o_orderkey", "o_custkey")
     sensor = F.when(F.col("l_returnflag") == "R", F.lit("n")).otherwise(F.col("o_custkey").cast("string"))
-    changes = files.stream_files(own, f"{path}/in", lines.schema, files_per_trigger=1).join(
-        known, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat(sensor, F.lit("_"), F.col("l_orderkey").cast("string")).alias("sensor_session_id"), sensor.alias("sensor_id"),
-        F.col("l_extendedprice").alias("started_at"), (F.col("l_quantity") > 45).alias("deleted"),
-        F.struct("day", "l_linenumber", "l_extendedprice", F.col("l_quantity") > 45).alias("at"))
     start = F.timestamp_seconds(F.lit(2_000_000_000))
 
+    def changes_of(came):
+        return came.join(known, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            F.concat(sensor, F.lit("_"), F.col("l_orderkey").cast("string")).alias("sensor_session_id"), sensor.alias("sensor_id"),
+            F.col("l_extendedprice").alias("started_at"), (F.col("l_quantity") > 45).alias("deleted"),
+            F.struct("batch", "day", "l_linenumber", "l_extendedprice", F.col("l_quantity") > 45).alias("at"))
+
     def write(batch, number):
-        batch = batch.persist()
-        try:
-            buckets.merge(batch, f"{path}/table", number, "at", start, "deleted")
-        finally:
-            batch.unpersist()
+        buckets.log(batch, f"{path}/table", number)
+        buckets.merge_logged(own, f"{path}/table", changes_of, "at", start, "deleted", share=1.0)
 
-    run(changes, path, write, timed=False)
+    run(files.stream_files(own, f"{path}/in", lines.schema, files_per_trigger=1), path, write, timed=False)
+    buckets.merge_logged(own, f"{path}/table", changes_of, "at", start, "deleted")
     return buckets.read(own, f"{path}/table").select(
         "sensor_session_id", "sensor_id", "started_at", "ended_at", "sum_workload",
         (F.col("inserted_ts") < start).alias("known"), (F.col("modified_ts") == start).alias("modified"))

@@ -10,6 +10,7 @@ a time. Old rows stay for readers that began before, until `drop_old`.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -138,6 +139,38 @@ def merge(changes: DataFrame, path: str, batch: int, order: str, now: Column | N
     return touched
 
 
+def log(rows: DataFrame, path: str, batch: int) -> None:
+    """Keep a batch's rows for a later merge, at the cost of these rows alone; a batch that runs again replaces what it wrote."""
+    rows.write.mode("overwrite").parquet(f"{path}/log/batch={batch}")
+
+
+def logged(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """The logged rows of batches that were not merged yet, with `batch`, and the number of the last such batch."""
+    applied = read_version(spark, path).batch
+    waiting = [n for n in numbers(names(spark, f"{path}/log"), "batch=") if n > applied]
+    if not waiting:
+        return None, applied
+    rows = spark.read.option("basePath", f"{path}/log").parquet(*[f"{path}/log/batch={n}" for n in waiting])
+    return rows.withColumn("batch", F.col("batch").cast("long")), waiting[-1]
+
+
+def merge_logged(spark: SparkSession, path: str, changes_of: Callable[[DataFrame], DataFrame], order: str, now: Column | None = None,
+                 deleted: str | None = None, share: float = 0.0) -> list[int]:
+    """Apply the logged rows in one merge if there are at least `share` as many as the registry has, and return the rewritten buckets.
+
+    With a share, the registry is rewritten when so much came that this costs no more than writing what came, however many
+    batches there are. Rows become changes by `changes_of`; `order` must begin with their batch.
+    """
+    rows, last = logged(spark, path)
+    if rows is None or rows.count() < share * read(spark, path).count():
+        return []
+    changes = changes_of(rows).persist()
+    try:
+        return merge(changes, path, last, order, now, deleted)
+    finally:
+        changes.unpersist()
+
+
 def drop_old(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Remove all but the newest versions, and the rows that none of these needs."""
     found = versions(spark, path)

@@ -97,6 +97,32 @@ def test_a_merge_that_breaks_off_is_not_seen(spark, tmp_path, monkeypatch):
     assert after["s1_1"][1] == 5.0 and "s2_1" not in after and len(after) == len(before) - 1
 
 
+def test_logged_batches_rewrite_the_registry_when_as_much_came(spark, tmp_path):
+    """Batches that touch all buckets: what is rewritten follows what came, and the result is that of merges one by one."""
+    draw, path, want, at = random.Random(3), f"{tmp_path}/table", table_rows(first_registry(spark).filter("sensor_session_id is not null")), 0
+    buckets.create(first_registry(spark), path, 4)
+
+    def changes_of(rows):
+        return rows.withColumn("order", F.struct("batch", "at")).drop("batch", "at")
+
+    def folded(share):
+        return buckets.merge_logged(spark, path, changes_of, "order", moment(7), "deleted", share)
+
+    for number in range(12):
+        changes = []
+        for _ in range(10):
+            key, at = draw.randrange(60), at + 1
+            changes.append((f"s{key}_1" if key else None, f"t{at}", float(at), draw.choice([True, False, None]), at % 4))
+        changes = [*{(c[0], c[4]): c for c in changes}.values()]
+        for _ in range(2):  # the same batch once more changes nothing
+            buckets.log(spark.createDataFrame(changes, CHANGE), path, number)
+            folded(1.0)
+        applied(want, changes, 7)
+    assert 1 < len(buckets.versions(spark, path)) < 6
+    folded(0.0)
+    assert table_rows(buckets.read(spark, path)) == want and folded(0.0) == []
+
+
 def test_empty_registry_new_columns_and_types(spark, tmp_path):
     path = f"{tmp_path}/table"
     buckets.create(first_registry(spark).limit(0), path, 4)
