@@ -22,6 +22,8 @@ from stridelake.sources.files import stream_files
 
 # The mark needs the watermark of a keyed operator, but keeps nothing.
 NO_STATE = "seen boolean"
+# As it keeps nothing, sensors share a key: a call for each of many sensors would cost more than the mark.
+MARKING_KEYS = 256
 LATE = "is_late"
 
 
@@ -31,12 +33,13 @@ def marked_late(messages: DataFrame, gap_us: int = SESSION_GAP_US, key: str = "s
     timed = messages.withColumn("event_ts", F.timestamp_micros(ts)).withWatermark("event_ts", delay)
     schema = T.StructType([*timed.schema.fields, T.StructField(LATE, T.BooleanType())])
 
-    def on_sensor(sensor: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def on_some(number: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         watermark_us = state.getCurrentWatermarkMs() * 1000
         for rows in parts:
             yield rows.assign(**{LATE: rows[ts].isna() | (rows[ts] + gap_us <= watermark_us)})
 
-    found = timed.groupBy(key).applyInPandasWithState(on_sensor, schema, NO_STATE, "append", GroupStateTimeout.NoTimeout)
+    shared = F.pmod(F.xxhash64(key), F.lit(MARKING_KEYS))
+    found = timed.groupBy(shared).applyInPandasWithState(on_some, schema, NO_STATE, "append", GroupStateTimeout.NoTimeout)
     # A writer by folder takes rows that an expression has made, not those of an Arrow batch.
     return found.withColumn(LATE, F.coalesce(LATE, F.lit(True)))
 
