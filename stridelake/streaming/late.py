@@ -33,13 +33,15 @@ def marked_late(messages: DataFrame, gap_us: int = SESSION_GAP_US, key: str = "s
     timed = messages.withColumn("event_ts", F.timestamp_micros(ts)).withWatermark("event_ts", delay)
     schema = T.StructType([*timed.schema.fields, T.StructField(LATE, T.BooleanType())])
 
+    names = timed.columns
+
     def on_some(number: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         watermark_us = state.getCurrentWatermarkMs() * 1000
         for rows in parts:
-            yield rows.assign(**{LATE: rows[ts].isna() | (rows[ts] + gap_us <= watermark_us)})
+            yield rows[names].assign(**{LATE: rows[ts].isna() | (rows[ts] + gap_us <= watermark_us)})
 
-    shared = F.pmod(F.xxhash64(key), F.lit(MARKING_KEYS))
-    found = timed.groupBy(shared).applyInPandasWithState(on_some, schema, NO_STATE, "append", GroupStateTimeout.NoTimeout)
+    shared = timed.withColumn("_marking_key", F.pmod(F.xxhash64(key), F.lit(MARKING_KEYS)))
+    found = shared.groupBy("_marking_key").applyInPandasWithState(on_some, schema, NO_STATE, "append", GroupStateTimeout.NoTimeout)
     # A writer by folder takes rows that an expression has made, not those of an Arrow batch.
     return found.withColumn(LATE, F.coalesce(LATE, F.lit(True)))
 

@@ -46,6 +46,16 @@ def test_every_row_goes_one_way(own, tmp_path):
                             (None, 98 * SECOND, 98 * SECOND, 1)], key=repr)
 
 
+def test_marking_calls_do_not_grow_with_sensors(own, tmp_path):
+    many = own.range(2000).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("sensor_id"), F.col("id").alias("kafka_timestamp"),
+                                  F.lit(1.0).alias("predicted_velocity"))
+    live.in_slices(many, "seq", f"{tmp_path}/in", least=2)
+    started = late.start_marking(stream_files(own, f"{tmp_path}/in", many.schema, files_per_trigger=1), str(tmp_path), {"availableNow": True}, SECOND)
+    finished(started)
+    assert max(o["numRowsUpdated"] + o["numRowsTotal"] for p in started.recentProgress for o in p["stateOperators"]) <= 2 * late.MARKING_KEYS
+    assert late.stored_rows(own, str(tmp_path), False, late.marked_schema(many)).count() == 2000
+
+
 def test_a_trigger_that_runs_again_stores_nothing_twice(own, tmp_path):
     data = derive.event_readings(own, SMALL).select("seq", "sensor_id", "kafka_timestamp", "predicted_velocity")
     delayed = live_events.delayed_readings(data)
