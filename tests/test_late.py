@@ -74,6 +74,15 @@ def test_a_trigger_that_runs_again_stores_nothing_twice(own, tmp_path):
     assert mark() == before and sum(r["count"] for r in before) == delayed.count() and before[1]["count"] > 10
 
 
+def test_session_state_is_not_handed_samples(own, monkeypatch):
+    given = []
+    assign = packets.sessions_and_scores
+    monkeypatch.setattr(packets, "sessions_and_scores", lambda rows, *args, **more: given.append(rows.columns) or assign(rows, *args, **more))
+    found = packets.packet_sessions(own.readStream.format("rate").load().select(
+        F.lit("a").alias("sensor_id"), F.col("value").alias("arrival"), F.lit(b"x").alias("payload")), "arrival")
+    assert "samples" in found.columns and given and "samples" not in given[0]
+
+
 @pytest.mark.parametrize("files", [4, 9])
 def test_packets_to_sessions_in_one_query(own, tmp_path, files):
     """Messages are cut inside packets, so bytes wait across triggers."""
