@@ -22,9 +22,12 @@ from stridelake.settings import (
     AGGREGATION_INTERVAL_MS, BATCH_SIZE, FLUSH_INTERVAL_MS, FLUSH_LAST_MESSAGES, INFERENCE_FLUSH_MS, SAMPLING_PERIOD_S,
 )
 from stridelake.streaming.keyed import _in_order
+from stridelake.streaming.shared import SENSOR, SHARED, edges, to_bytes, to_table, with_shared_key
 
 CHUNKS = "rows binary"
-TOTALS = "sensor_session_id string, top double, path double, arrival long, changed boolean"
+TOTALS = pa.schema([
+    ("sensor", pa.string()), ("sensor_session_id", pa.string()), ("top", pa.float64()), ("path", pa.float64()),
+    ("arrival", pa.int64()), ("changed", pa.bool_()), ("due", pa.int64())])
 TOTAL_ROWS = "sensor_id string, sensor_session_id string, session_max_velocity double, session_total_distance double, " \
     "aggregation_timestamp_ms long"
 # State on disk, for sessions that were built without it.
@@ -118,59 +121,87 @@ def scores_on_timer(samples: DataFrame, order: Sequence[str], make_scorer: Calla
 
 
 class TotalsOnTimer(StatefulProcessor):
-    """Totals of a sensor's sessions; a timer sends those that changed and forgets sessions that are over."""
+    """Totals of sessions of the sensors of a key; a sensor's timer sends those that changed and forgets sessions that are over."""
 
     def __init__(self, interval_ms: int, period_s: float):
         self.interval_ms, self.period_s = interval_ms, period_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sessions = handle.getListState("sessions", TOTALS)
+        self.sessions = handle.getValueState("sessions", CHUNKS)
+
+    def held(self) -> pd.DataFrame:
+        """A row per session, a sensor's in the order they began; `due` is the sensor's timer, 0 if it has none."""
+        return to_table(self.sessions.get()[0] if self.sessions.exists() else None, TOTALS).to_pandas()
+
+    def keep(self, held: pd.DataFrame) -> None:
+        self.sessions.update((to_bytes(pa.Table.from_pandas(held, TOTALS, preserve_index=False, nthreads=1)),))
 
     def handleInputRows(self, key, rows, timerValues):
-        held = {s[0]: tuple(s) for s in self.sessions.get()}
-        armed = any(s[4] for s in held.values())
         came = pd.concat(list(rows), ignore_index=True)
-        names, place = np.unique(came["sensor_session_id"].to_numpy(str), return_inverse=True)
-        by_session = np.argsort(place, kind="stable")
-        starts = np.searchsorted(place[by_session], np.arange(len(names)))
-        speed = came["velocity"].to_numpy(float, na_value=np.nan)[by_session]
-        arrival = came["arrival"].to_numpy(np.int64)[by_session]
-        found = zip(names.tolist(), np.fmax.reduceat(speed, starts).tolist(), np.add.reduceat(np.abs(speed), starts).tolist(),
-                    np.maximum.reduceat(arrival, starts).tolist())
-        for name, top, path, last in found:
-            _, high, far, seen, _ = held.get(name, (name, float("-inf"), 0.0, last, True))
-            held[name] = (name, float(np.fmax(high, top)), far + path, max(seen, last), True)
-        self.sessions.put(list(held.values()))
-        if not armed:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.interval_ms)
+        speed = came["velocity"].to_numpy(float, na_value=np.nan)
+        new = totals_of_rows(came[SENSOR], came["sensor_session_id"], np.fmax(speed, float("-inf")), np.abs(speed), came["arrival"],
+                             np.argsort(came["sensor_session_id"].to_numpy(str), kind="stable"))
+        held, due = self.held(), timerValues.getCurrentProcessingTimeInMs() + self.interval_ms
+        both = pd.concat([held[new.columns], new], ignore_index=True) if len(held) else new
+        found = totals_of_rows(*[both[c] for c in new.columns], np.arange(len(both)))
+        sensors, _ = pd.factorize(pd.concat([held["sensor"], new["sensor"], found["sensor"]], ignore_index=True), use_na_sentinel=False)
+        of_held, of_new, of_found = np.split(sensors, [len(held), len(both)])
+        timers = np.zeros(sensors.max() + 1, np.int64)
+        timers[of_held] = held["due"].to_numpy(np.int64)
+        starts_timer = (timers[of_new] == 0).any()
+        timers[of_new] = np.where(timers[of_new] == 0, due, timers[of_new])
+        changed = np.zeros(len(found), bool)
+        changed[:len(held)] = held["changed"].to_numpy(bool)  # sessions keep their places, new ones follow
+        changed[np.unique(both.groupby(["sensor", "sensor_session_id"], dropna=False, sort=False).ngroup().to_numpy()[len(held):])] = True
+        self.keep(found.assign(changed=changed, due=timers[of_found]))
+        if starts_timer:
+            self.handle.registerTimer(due)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = [tuple(s) for s in self.sessions.get()]
-        changed = [s for s in held if s[4]]
-        newest = max(held, key=lambda s: s[3])  # all sessions before it are over
-        self.sessions.put([(*newest[:4], False)])
-        if changed:
-            yield pd.DataFrame({
-                "sensor_id": [key[0]] * len(changed), "sensor_session_id": [s[0] for s in changed],
-                "session_max_velocity": [s[1] for s in changed], "session_total_distance": [s[2] * self.period_s for s in changed],
-                "aggregation_timestamp_ms": [int(timerValues.getCurrentProcessingTimeInMs())] * len(changed)})
+        held = self.held()
+        mine = held["due"].to_numpy(np.int64) == expiredTimerInfo.getExpiryTimeInMs()
+        if not mine.any():
+            return
+        sent = held[mine & held["changed"].to_numpy(bool)]
+        # All sessions of a sensor before its newest are over.
+        newest = held[mine].sort_values("arrival", ascending=False, kind="stable").drop_duplicates("sensor").assign(changed=False, due=0)
+        self.keep(pd.concat([held[~mine], newest], ignore_index=True) if not mine.all() else newest)
+        yield pd.DataFrame({
+            "sensor_id": sent["sensor"].to_numpy(), "sensor_session_id": sent["sensor_session_id"].to_numpy(),
+            "session_max_velocity": sent["top"].to_numpy(), "session_total_distance": sent["path"].to_numpy() * self.period_s,
+            "aggregation_timestamp_ms": np.full(len(sent), int(timerValues.getCurrentProcessingTimeInMs()))})
 
     def close(self) -> None:
         pass
 
 
+def totals_of_rows(sensor: pd.Series, session: pd.Series, top, path, arrival, place: np.ndarray) -> pd.DataFrame:
+    """Highest velocity, path and newest arrival of every session, in the order in which `place` has their first rows."""
+    rows = pd.DataFrame({"sensor": sensor, "sensor_session_id": session, "top": top, "path": path, "arrival": arrival}).take(place)
+    number = rows.groupby(["sensor", "sensor_session_id"], dropna=False, sort=False).ngroup().to_numpy()
+    together = np.argsort(number, kind="stable")
+    lo = edges(number[together])
+    rows = rows.take(together)
+    return pd.DataFrame({
+        "sensor": rows["sensor"].to_numpy()[lo], "sensor_session_id": rows["sensor_session_id"].to_numpy()[lo],
+        "top": np.fmax.reduceat(rows["top"].to_numpy(), lo), "path": np.add.reduceat(rows["path"].to_numpy(), lo),
+        "arrival": np.maximum.reduceat(rows["arrival"].to_numpy(np.int64), lo)})
+
+
 def totals_on_timer(sessions: DataFrame, arrival: str, interval_ms: int = AGGREGATION_INTERVAL_MS,
                     velocity: str = "predicted_velocity", key: str = "sensor_id", period_s: float = SAMPLING_PERIOD_S) -> DataFrame:
     """Totals so far of every session that got velocities, one interval after the first of them came.
 
     A session without new velocities sends nothing and has no timer. Rows without a session or a velocity do not count.
-    The state has the open session of a sensor, and sessions that ended since the last flush.
+    The state has the open session of a sensor, and sessions that ended since the last flush. Sensors share a key (`shared`),
+    but each has a timer of its own.
     """
     rows = sessions.filter(F.col(velocity).isNotNull() & (F.col("sensor_session_id") != "")).select(
-        key, "sensor_session_id", F.col(velocity).alias("velocity"), F.col(arrival).cast("long").alias("arrival"))
-    found = rows.withColumnRenamed(key, "sensor_id").groupBy("sensor_id").transformWithStateInPandas(
+        F.col(key).alias("sensor_id"), "sensor_session_id", F.col(velocity).alias("velocity"),
+        F.coalesce(F.col(arrival).cast("long"), F.lit(np.iinfo(np.int64).min)).alias("arrival"))
+    found = with_shared_key(rows, "sensor_id").drop("sensor_id").groupBy(SHARED).transformWithStateInPandas(
         TotalsOnTimer(interval_ms, period_s), TOTAL_ROWS, "append", "processingTime")
     return found.select("sensor_session_id", "sensor_id", "session_max_velocity",
                         F.coalesce("session_total_distance", F.lit(float("nan"))).alias("session_total_distance"),
