@@ -1,8 +1,8 @@
 """Buffers and totals per sensor that a timer empties, whatever triggers the input comes in.
 
-Each operator is one stateful processor keyed by the sensor, so they follow each other and the session assignment
-without a new shuffle. A sensor's buffer is a list state of Arrow chunks, one per trigger; what a task holds is the rows
-of a sensor since the last flush. Timers run in processing time; batches by time may also run in event time, where
+Each operator is one stateful processor, keyed by the sensor for buffered messages and by a key that sensors share
+(`shared`) for scores and totals. A buffer is a list state of Arrow chunks, one per trigger; what a task holds is the
+rows of a key since the last flush. Timers run in processing time; batches by time may also run in event time, where
 they do not depend on when the job runs. Every operator hands on each row once, or once per flush what is asked for.
 """
 
@@ -22,7 +22,9 @@ from stridelake.settings import (
     AGGREGATION_INTERVAL_MS, BATCH_SIZE, FLUSH_INTERVAL_MS, FLUSH_LAST_MESSAGES, INFERENCE_FLUSH_MS, SAMPLING_PERIOD_S,
 )
 from stridelake.streaming.keyed import _in_order
-from stridelake.streaming.shared import SENSOR, SHARED, edges, to_bytes, to_table, with_shared_key
+from stridelake.streaming.shared import (
+    SENSOR, SHARED, by_sensor, edges, kept, known, restored, to_bytes, to_table, with_shared_key,
+)
 
 CHUNKS = "rows binary"
 TOTALS = pa.schema([
@@ -30,6 +32,8 @@ TOTALS = pa.schema([
     ("arrival", pa.int64()), ("changed", pa.bool_()), ("due", pa.int64())])
 TOTAL_ROWS = "sensor_id string, sensor_session_id string, session_max_velocity double, session_total_distance double, " \
     "aggregation_timestamp_ms long"
+WAITING = pa.schema([("sensor", pa.string())])
+MODELS = pa.schema([("sensor", pa.string()), ("model", pa.binary())])
 # State on disk, for sessions that were built without it.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -79,31 +83,52 @@ class Flushed(StatefulProcessor):
 
 
 class ScoreOnTimer(Flushed):
-    """Every trigger with rows sets a timer; any timer gives the whole buffer to the model as one sequence."""
+    """Every trigger with rows of a sensor sets a timer; any timer gives the sensor's whole buffer to the model as one sequence."""
 
     def __init__(self, names: list[str], order: list[str], make_scorer: Callable[[], Scorer], flush_ms: int, ts: str | None):
         self.names, self.order, self.make_scorer, self.flush_ms, self.ts = names, order, make_scorer, flush_ms, ts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.model = handle.getValueState("model", "state binary")
+        self.timers = handle.getMapState("timers", "due long", CHUNKS)
+        self.models = handle.getValueState("models", CHUNKS)
         self.scorer = self.make_scorer()
 
     def handleInputRows(self, key, rows, timerValues):
-        self.keep(_in_order(rows, self.order, self.ts)[self.names])
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.flush_ms)
+        came = pd.concat(list(rows), ignore_index=True).drop(columns=SHARED, errors="ignore")
+        place, _, sensors = by_sensor(restored(came), self.order, self.ts)
+        self.keep(came.take(place).reset_index(drop=True))
+        due = timerValues.getCurrentProcessingTimeInMs() + self.flush_ms
+        self.timers.updateValue((due,), (to_bytes(pa.table([list({*sensors, *self.waiting(due)})], schema=WAITING)),))
+        self.handle.registerTimer(due)
         return iter(())
 
+    def waiting(self, due: int) -> list[str | None]:
+        """The sensors that have a timer then."""
+        at = (due,)
+        return to_table(self.timers.getValue(at)[0], WAITING).column(0).to_pylist() if self.timers.containsKey(at) else []
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        rows = self.held()
+        due, rows = expiredTimerInfo.getExpiryTimeInMs(), self.held()
+        sensors = self.waiting(due)
+        self.timers.removeKey((due,))
         if rows is None:
             return
+        mine = rows[SENSOR].isin(sensors).to_numpy()
+        if not mine.any():
+            return
         self.buffer.clear()
-        before = bytes(self.model.get()[0]) if self.model.exists() else None
-        velocity, movement, scored, ends = score_runs(self.scorer, rows, [(0, len(rows), before)])
-        if ends[-1] is not None:
-            self.model.update((ends[-1],))
-        yield rows.assign(_velocity=velocity, _movement=movement, _scored=scored)
+        if not mine.all():
+            self.keep(rows[~mine])
+        rows = restored(rows[mine].reset_index(drop=True))
+        place, numbers, sensors = by_sensor(rows, [])
+        rows = rows.take(place).reset_index(drop=True)
+        cuts = edges(numbers).tolist()
+        (before,), others = known(self.models.get()[0] if self.models.exists() else None, sensors, MODELS)
+        velocity, movement, scored, ends = score_runs(self.scorer, rows, list(zip(cuts, [*cuts[1:], len(rows)], before)))
+        if any(e is not None for e in ends):
+            self.models.update((kept(others, sensors, [ends]),))
+        yield rows[self.names].assign(_velocity=velocity, _movement=movement, _scored=scored)
 
 
 def scores_on_timer(samples: DataFrame, order: Sequence[str], make_scorer: Callable[[], Scorer],
@@ -112,10 +137,11 @@ def scores_on_timer(samples: DataFrame, order: Sequence[str], make_scorer: Calla
 
     The model's state goes on from flush to flush. If a model returns another number of values than it was given, the
     velocities of that flush stay null and the state still moves on. Order is that of arrival, within a trigger by `order`.
+    Sensors share a key (`shared`), but each has timers and a sequence of its own.
     """
     inputs = samples.drop("predicted_velocity")
     schema = T.StructType([*inputs.schema.fields, *SCORE_FIELDS])
-    found = inputs.groupBy(key).transformWithStateInPandas(
+    found = with_shared_key(inputs, key).groupBy(SHARED).transformWithStateInPandas(
         ScoreOnTimer(inputs.columns, list(order), make_scorer, flush_ms, ts), schema, "append", "processingTime")
     return with_masked_velocity(found)
 

@@ -28,10 +28,34 @@ class Value:
         self.kept = value
 
 
+class Listed:
+    def __init__(self):
+        self.kept = []
+
+    def get(self):
+        return iter(self.kept)
+
+    def appendValue(self, value):
+        self.kept.append(value)
+
+    def clear(self):
+        self.kept = []
+
+
+class Mapped(dict):
+    containsKey, getValue, updateValue, removeKey = dict.__contains__, dict.__getitem__, dict.__setitem__, dict.pop
+
+
 class Handle:
     def __init__(self):
         self.set = []
 
+    def getListState(self, *_):
+        return Listed()
+
+    def getMapState(self, *_):
+        return Mapped()
+
     def getValueState(self, *_):
         return Value()
 
@@ -109,6 +133,40 @@ def test_every_sensor_of_a_key_has_its_own_timer():
     assert (sensor, session, top) == ("a", "a_9", 4.0) and np.isnan(path)
 
 
+def test_many_sensors_are_scored_in_few_calls(own, tmp_path):
+    data = many_sensors(own).withColumn("mark", F.lit(0.0))
+    live.in_slices(data, "seq", f"{tmp_path}/in")
+    stream = stream_files(own, f"{tmp_path}/in", data.schema, files_per_trigger=1)
+    query = timers.scores_on_timer(stream, ["seq"], live.SampleCounter, 0).writeStream.foreachBatch(
+        jobs.into_folder(f"{tmp_path}/rows")).option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    timers.run_until_flushed(query)
+    calls = [o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert calls and max(calls) <= 10 * shared.SHARED_KEYS
+    got = own.read.parquet(f"{tmp_path}/rows").select("seq", "sensor_id", "predicted_velocity")
+    assert rows(got) == rows(data.select("seq", "sensor_id", (F.floor(F.col("seq") / 2000) + 1).cast("double")))
+
+
+def test_a_flush_scores_the_sensors_whose_timer_it_is():
+    names = ["seq", "sensor_id", "mark"]
+    scores, handle = timers.ScoreOnTimer(names, ["seq"], live.SampleCounter, 200, None), Handle()
+    scores.init(handle)
+
+    def come(ms, *came):
+        frame = pd.DataFrame([(seq, s, 0.0, s) for seq, s in came], columns=[*names, timers.SENSOR])
+        assert list(scores.handleInputRows((1,), iter([frame]), At(ms))) == []
+
+    def due(ms):
+        flushed = list(scores.handleExpiredTimer((1,), At(ms), At(ms)))
+        return [row for f in flushed for row in zip(f["seq"], f["sensor_id"], f["_velocity"])]
+
+    come(1000, (2, "a"), (1, "a"), (3, None))
+    come(1100, (4, "b"), (5, "a"))
+    assert handle.set == [1200, 1300]
+    assert sorted(due(1200), key=repr) == sorted([(1, "a", 1.0), (2, "a", 2.0), (5, "a", 3.0), (3, None, 1.0)], key=repr)
+    come(1250, (6, "a"), (7, "b"))
+    assert sorted(due(1300)) == [(4, "b", 1.0), (6, "a", 4.0), (7, "b", 2.0)] and due(1450) == []
+
+
 def test_a_sensor_does_not_lose_digits_to_nulls_of_others(own, tmp_path):
     """pandas makes floats of whole numbers if a row of the frame has none."""
     large = 2**60 + 1
