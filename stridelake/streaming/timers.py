@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -156,19 +157,23 @@ class TotalsOnTimer(StatefulProcessor):
         self.handle = handle
         self.sessions = handle.getValueState("sessions", CHUNKS)
 
-    def held(self) -> pd.DataFrame:
+    def held(self) -> pa.Table:
         """A row per session, a sensor's in the order they began; `due` is the sensor's timer, 0 if it has none."""
-        return to_table(self.sessions.get()[0] if self.sessions.exists() else None, TOTALS).to_pandas()
+        return to_table(self.sessions.get()[0] if self.sessions.exists() else None, TOTALS)
 
-    def keep(self, held: pd.DataFrame) -> None:
-        self.sessions.update((to_bytes(pa.Table.from_pandas(held, TOTALS, preserve_index=False, nthreads=1)),))
+    def keep(self, others: pa.Table, mine: pd.DataFrame) -> None:
+        """Sensors that nothing came for stay as they are, in Arrow."""
+        rows = pa.Table.from_pandas(mine, TOTALS, preserve_index=False, nthreads=1)
+        self.sessions.update((to_bytes(pa.concat_tables([others.replace_schema_metadata(), rows.replace_schema_metadata()])),))
 
     def handleInputRows(self, key, rows, timerValues):
         came = pd.concat(list(rows), ignore_index=True)
         speed = came["velocity"].to_numpy(float, na_value=np.nan)
         new = totals_of_rows(came[SENSOR], came["sensor_session_id"], np.fmax(speed, float("-inf")), np.abs(speed), came["arrival"],
                              np.argsort(came["sensor_session_id"].to_numpy(str), kind="stable"))
-        held, due = self.held(), timerValues.getCurrentProcessingTimeInMs() + self.interval_ms
+        state, due = self.held(), timerValues.getCurrentProcessingTimeInMs() + self.interval_ms
+        mine = pc.is_in(state["sensor"], value_set=pa.array(new["sensor"].unique(), pa.string(), from_pandas=True))
+        held = state.filter(mine).to_pandas()
         both = pd.concat([held[new.columns], new], ignore_index=True) if len(held) else new
         found = totals_of_rows(*[both[c] for c in new.columns], np.arange(len(both)))
         sensors, _ = pd.factorize(pd.concat([held["sensor"], new["sensor"], found["sensor"]], ignore_index=True), use_na_sentinel=False)
@@ -180,20 +185,21 @@ class TotalsOnTimer(StatefulProcessor):
         changed = np.zeros(len(found), bool)
         changed[:len(held)] = held["changed"].to_numpy(bool)  # sessions keep their places, new ones follow
         changed[np.unique(both.groupby(["sensor", "sensor_session_id"], dropna=False, sort=False).ngroup().to_numpy()[len(held):])] = True
-        self.keep(found.assign(changed=changed, due=timers[of_found]))
+        self.keep(state.filter(pc.invert(mine)), found.assign(changed=changed, due=timers[of_found]))
         if starts_timer:
             self.handle.registerTimer(due)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        held = self.held()
-        mine = held["due"].to_numpy(np.int64) == expiredTimerInfo.getExpiryTimeInMs()
-        if not mine.any():
+        state = self.held()
+        mine = pc.equal(state["due"], expiredTimerInfo.getExpiryTimeInMs())
+        held = state.filter(mine).to_pandas()
+        if not len(held):
             return
-        sent = held[mine & held["changed"].to_numpy(bool)]
+        sent = held[held["changed"].to_numpy(bool)]
         # All sessions of a sensor before its newest are over.
-        newest = held[mine].sort_values("arrival", ascending=False, kind="stable").drop_duplicates("sensor").assign(changed=False, due=0)
-        self.keep(pd.concat([held[~mine], newest], ignore_index=True) if not mine.all() else newest)
+        newest = held.sort_values("arrival", ascending=False, kind="stable").drop_duplicates("sensor").assign(changed=False, due=0)
+        self.keep(state.filter(pc.invert(mine)), newest)
         yield pd.DataFrame({
             "sensor_id": sent["sensor"].to_numpy(), "sensor_session_id": sent["sensor_session_id"].to_numpy(),
             "session_max_velocity": sent["top"].to_numpy(), "session_total_distance": sent["path"].to_numpy() * self.period_s,
