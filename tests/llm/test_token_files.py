@@ -3,8 +3,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import brute
-from stridelake.llm import rans, token_files
-from stridelake.llm.tokens import default_vocabulary, encoder
+from stridelake.llm import rans, token_files, tokens
+from stridelake.llm.tokens import Encoder, default_vocabulary, encoder
 
 ODD = ["a b  \n\n x", "it's they'll!!  end  ", "<|endoftext|> x", "tab\t\tx\r\n\r\n  y ", "ça va? œuvre ½ ² ×÷ 3²a", "漢字 и кириллица",
        "", "   ", "\n", "a\x0bb\x1cc", "'s 'S ''ll x'd", " x y", "a" * 3000, "é", "!?" * 50, " 1 22 a1b", "ŉ ſ ª º µ"]
@@ -19,6 +19,50 @@ def test_pieces_give_what_the_library_gives(spark):
         assert own.encode(texts) == [np.array(e.ids, own.kind).tobytes() for e in plain]
 
 
+class Counted:
+    """A tokenizer that notes the texts it is handed."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, []
+
+    def encode_batch_fast(self, texts, **named):
+        self.texts += texts
+        return self.tokenizer.encode_batch_fast(texts, **named)
+
+
+def plain_ids(own, texts):
+    found = Tokenizer.from_file(default_vocabulary()).encode_batch(texts, add_special_tokens=False)
+    return [np.array(e.ids, own.kind).tobytes() for e in found]
+
+
+def test_library_is_handed_new_words_together_and_once():
+    own = Encoder(default_vocabulary())
+    own.tokenizer = Counted(own.tokenizer)
+    words = [f"{a}{b}" for a in "каменьщф" for b in range(500)] + [f"w{i}x" for i in range(4000)]
+    texts = [" ".join(words), " " + " ".join(words[::-1]) + ".", "— " + " ".join(words[:500])]
+    assert own.encode(texts) == plain_ids(own, texts)
+    assert len(own.tokenizer.texts) < 60 and sum(map(len, own.tokenizer.texts)) < 1.1 * len(texts[0])
+    own.tokenizer.texts = []
+    assert own.encode(texts) == plain_ids(own, texts) and not own.tokenizer.texts
+
+
+def test_parts_of_any_characters_give_what_the_library_gives():
+    rng = np.random.default_rng(10)
+    some = list("  \n\n\t\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u3000\ufeff\u200baaZst've''.,-_09½éß×©ñжя漢한😀\u0301\0") + ["'s", "'ll", " a", ", b", " é"]
+    texts = ["".join(rng.choice(some, n)) for n in rng.integers(0, 40, 4000)]
+    own = Encoder(default_vocabulary())
+    assert own.encode(texts) == plain_ids(own, texts)
+
+
+def test_kept_parts_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_PARTS", 50)
+    own = Encoder(default_vocabulary())
+    texts = [" ".join(f"w{i + j}" for j in range(40)) + " " + "long" * 100 for i in range(0, 400, 20)]
+    for text in texts + texts[::-1]:
+        assert own.encode([text]) == plain_ids(own, [text])
+        assert len(own.parts) + len(own.older) <= 200 and max(map(len, own.parts)) <= tokens.LONGEST_KEPT
+
+
 @pytest.mark.parametrize("count", [1, 2, 255, 256, 257, 33_000, rans.BLOCK, rans.BLOCK + 1, 3 * rans.BLOCK + 700])
 @pytest.mark.parametrize("symbols", [1, 2, 50_000])
 def test_files_come_back(count, symbols):
