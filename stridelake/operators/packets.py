@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from stridelake.functions.crc import crc16
+from stridelake.functions.crc import crc16, crc16_of_all
 from stridelake.operators.ordered_state import fold_in_order
 from stridelake.schemas import PACKET_SAMPLE
 from stridelake.settings import (
@@ -19,6 +19,11 @@ from stridelake.settings import (
 
 SYNC = bytes([PACKET_COMMAND, PACKET_DATA_TYPE])
 FRAME_BYTES = PACKET_HEADER_BYTES + PACKET_CRC_BYTES
+# A buffer that was scanned is shorter than the longest frame.
+LONGEST_FRAME = FRAME_BYTES + 0xFFFF
+BAD_CRC = ("bad_crc", None, None, None, None)
+# Frames of a stream whose sums are looked up together at first, as if all were right.
+FRAMES_AHEAD = 64
 KEPT_STATUSES = ("ok", "no_samples", "extra_bytes")
 # Fixed value: the fields of one sample and their byte order.
 SAMPLE_LAYOUT = np.dtype([("acc", ">i2", 3), ("gyro", ">i2", 3), ("mag", "<i2", 3), ("temp", ">i2")])
@@ -67,7 +72,7 @@ def scan_frames(buffer: bytes) -> tuple[list[tuple], int]:
             return found, sync
         frame = buffer[sync:end]
         if crc16(frame[:-PACKET_CRC_BYTES]) != int.from_bytes(frame[-PACKET_CRC_BYTES:], "little"):
-            found.append(("bad_crc", None, None, None, None))
+            found.append(BAD_CRC)
             at = sync + 1
             continue
         found.append(read_payload(frame[PACKET_HEADER_BYTES:-PACKET_CRC_BYTES]))
@@ -83,6 +88,85 @@ def feed(buffer: bytes, message: bytes, limit: int = MAX_BUFFER_BYTES) -> tuple[
     return found, buffer[done:]
 
 
+def scan_streams(streams: Sequence[bytes]) -> tuple[list[list[tuple]], list[list[int]], list[int]]:
+    """`scan_frames` of many buffers, with the sums of all looked up together: frames, where each ends, and the bytes done with.
+
+    A buffer is followed as if the sums were right, for as many frames as it has had in a row; behind a wrong one it is
+    followed anew, and sums that were looked up stay known.
+    """
+    data = b"".join(streams)
+    sizes = np.array([len(s) for s in streams], np.int64)
+    tops = np.cumsum(sizes)
+    content = np.frombuffer(data, np.uint8)
+    sync = np.flatnonzero((content[:-1] == SYNC[0]) & (content[1:] == SYNC[1]))
+    top = tops[np.searchsorted(tops, sync, side="right")]
+    sync, top = sync[sync <= top - FRAME_BYTES], top[sync <= top - FRAME_BYTES]
+    ends = sync + FRAME_BYTES + content[sync + 2] + (content[sync + 3].astype(np.int64) << 8)
+    follows, places, past = np.searchsorted(sync, ends).tolist(), np.searchsorted(sync, tops - sizes).tolist(), np.searchsorted(sync, tops).tolist()
+    whole, right, sync, ends = (ends <= top).tolist(), [None] * len(sync), sync.tolist(), ends.tolist()
+    taken, ahead, left = [[] for _ in streams], [FRAMES_AHEAD] * len(streams), range(len(streams))
+    while left:
+        paths = []
+        for s in left:
+            i, path = places[s], []
+            while i < past[s] and whole[i] and len(path) < ahead[s]:
+                path.append(i)
+                i = follows[i]
+            if path:
+                paths.append((s, path))
+        unknown = [i for _, path in paths for i in path if right[i] is None]
+        sums = crc16_of_all([data[sync[i]:ends[i] - PACKET_CRC_BYTES] for i in unknown])
+        for i, found in zip(unknown, sums.tolist()):
+            right[i] = found == int.from_bytes(data[ends[i] - PACKET_CRC_BYTES:ends[i]], "little")
+        for s, path in paths:
+            wrong = next((n for n, i in enumerate(path) if not right[i]), None)
+            taken[s] += path if wrong is None else path[:wrong + 1]
+            places[s] = follows[path[-1]] if wrong is None else path[wrong] + 1
+            ahead[s] = 2 * (len(path) if wrong is None else wrong + 1)
+        left = [s for s, _ in paths]
+    frames, stops, done = [], [], []
+    for s, (size, low) in enumerate(zip(sizes.tolist(), (tops - sizes).tolist())):
+        mine, i = taken[s], places[s]
+        frames.append([read_payload(data[sync[f] + PACKET_HEADER_BYTES:ends[f] - PACKET_CRC_BYTES]) if right[f] else BAD_CRC for f in mine])
+        stops.append([ends[f] - low for f in mine])
+        at = 0 if not mine else (ends[mine[-1]] if right[mine[-1]] else sync[mine[-1]] + 1) - low
+        done.append(sync[i] - low if i < past[s] else max(at, size - FRAME_BYTES + 1, 0))
+    return frames, stops, done
+
+
+def feed_all(
+    buffers: list[bytes], messages: Sequence[bytes], begins: Sequence[int], limit: int = MAX_BUFFER_BYTES,
+) -> tuple[list[tuple], list[bytes]]:
+    """`feed` for every message of many sensors: (message, frame number, *frame) of all frames, and the buffers left.
+
+    A sensor's messages lie together in order, from `begins` on. They are scanned as one stream, and a frame belongs to the
+    message that ends it; only a sensor that could overfill its buffer is fed message by message.
+    """
+    made, rest = [], [b""] * len(buffers)
+    sizes = np.array([len(m) for m in messages], np.int64)
+    together, parts = [], [*zip(begins, [*begins[1:], len(messages)])]
+    for sensor, (lo, hi) in enumerate(parts):
+        total = len(buffers[sensor]) + int(sizes[lo:hi].sum())
+        if min(total, LONGEST_FRAME + int(sizes[lo:hi].max())) <= limit:
+            together.append(sensor)
+            continue
+        buffer = buffers[sensor]
+        for m in range(lo, hi):
+            found, buffer = feed(buffer, messages[m], limit)
+            made += [(m, n, *frame) for n, frame in enumerate(found)]
+        rest[sensor] = buffer
+    streams = [b"".join([buffers[s], *messages[slice(*parts[s])]]) for s in together]
+    for sensor, stream, found, stops, done in zip(together, streams, *scan_streams(streams)):
+        lo, hi = parts[sensor]
+        reached = len(buffers[sensor]) + np.cumsum(sizes[lo:hi])
+        # What a wrong frame held is only looked at when that frame has ended.
+        of = lo + np.searchsorted(reached, np.maximum.accumulate(np.array(stops, np.int64)))
+        number = np.arange(len(of)) - np.searchsorted(of, of)
+        made += [(m, n, *frame) for m, n, frame in zip(of.tolist(), number.tolist(), found)]
+        rest[sensor] = stream[done:]
+    return made, rest
+
+
 def _framing(limit: int):
     def step(rows: pd.DataFrame, runs):
         frames, ends = [], []

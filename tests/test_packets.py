@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 
 from stridelake.functions.crc import crc16
 from stridelake.operators import packets
-from stridelake.operators.packets import feed, frames, scan_frames
+from stridelake.operators.packets import feed, feed_all, frames, scan_frames
 
 
 def packet(base=0, micros=1_000, samples=1, declared=None, extra=b"", payload=None, spoil=False):
@@ -84,6 +84,30 @@ def test_any_split_gives_the_same_frames(data):
     assert got == scan_frames(stream)[0]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.data(), st.sampled_from([70, 400, 66_000, 1 << 20]))
+def test_messages_of_many_sensors_give_the_frames_of_each(data, limit):
+    """False frames of any length stand between packets, and a small buffer overflows."""
+    piece = st.one_of(st.sampled_from([
+        packet(), packet(base=5, samples=3), packet(samples=0), packet(spoil=True), b"\x7c", b"\x1e\x7c", packet(payload=b"\x7c\x1e\x08\x00" * 9),
+        packet(payload=b"short"), packet(samples=2, declared=3), packet(extra=b"\x7c\x1e"), packet(micros=2 ** 63)]),
+        st.integers(0, 90).map(lambda n: b"\x7c\x1e" + struct.pack("<H", n)))
+    sensors = data.draw(st.integers(1, 4))
+    left, held = [b""] * sensors, [b""] * sensors
+    for _ in range(2):
+        messages, begins, want = [], [], []
+        for s in range(sensors):
+            stream = b"".join(data.draw(st.lists(piece, max_size=12)))
+            cuts = sorted(data.draw(st.lists(st.integers(0, len(stream)), max_size=5)))
+            begins.append(len(messages))
+            messages += [stream[lo:hi] for lo, hi in zip([0, *cuts], [*cuts, len(stream)])]
+            for m in range(begins[-1], len(messages)):
+                found, held[s] = feed(held[s], messages[m], limit)
+                want += [(m, n, *frame) for n, frame in enumerate(found)]
+        got, left = feed_all(left, messages, begins, limit)
+        assert sorted(got, key=lambda f: f[:2]) == want and left == held
+
+
 def random_messages(n, seed):
     """A byte stream of good and faulty packets for a hot sensor and a few others, cut anywhere."""
     rng, out, seq = random.Random(seed), [], 0

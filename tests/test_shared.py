@@ -4,11 +4,12 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from test_packets import packet
 
-from stridelake.operators import aggregates, sessions
+from stridelake.operators import aggregates, packets as batch_packets, sessions
 from stridelake.plans import live
 from stridelake.sources.files import stream_files
-from stridelake.streaming import jobs, keyed, shared, timers
+from stridelake.streaming import jobs, keyed, packets, shared, timers
 
 GAP = 1000
 
@@ -112,6 +113,41 @@ def test_many_sensors_need_few_calls(own, tmp_path):
     assert [r.sensor_session_id for r in newest.filter("sensor_id is null").orderBy("sensor_session_id").collect()] == ["None_10", "None_9000"]
 
 
+def test_packet_bytes_of_many_sensors_need_few_calls(own, tmp_path):
+    """1,500 sensors, one of them null, each with a packet cut in three that come in three triggers; every fifth never ends."""
+    cut = [(0, 10), (10, 30), (30, None)]
+    data = own.createDataFrame([
+        (1500 * n + s, None if s == 0 else f"s{s}", packet(base=s, micros=s + 1, samples=s % 4)[lo:hi])
+        for n, (lo, hi) in enumerate(cut) for s in range(1500) if n < 2 or s % 5], "arrival long, sensor_id string, payload binary")
+    live.in_slices(data, "arrival", f"{tmp_path}/in", least=3)
+    found = packets.buffered_frames(stream_files(own, f"{tmp_path}/in", data.schema, files_per_trigger=1), "arrival")
+    query = found.writeStream.foreachBatch(jobs.into_folder(f"{tmp_path}/rows")).option(
+        "checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    held = [o["numRowsTotal"] + o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"]]
+    assert held and max(held) <= 2 * shared.SHARED_KEYS
+    want = batch_packets.frames(data, "arrival")
+    got = own.read.parquet(f"{tmp_path}/rows").select(*want.columns)
+    assert rows(got) == rows(want) and got.count() >= 1200 and got.filter("sensor_id is null").count() == 1
+
+
+def test_every_sensor_of_a_key_has_its_own_bytes():
+    framing = packets.FrameBuffer(1 << 20)
+    framing.init(Handle())
+    whole = packet(base=2 ** 31, micros=2 ** 60 + 1)
+
+    def come(*came):
+        frame = pd.DataFrame(came, columns=[shared.SENSOR, "arrival", "payload"])
+        return [tuple(r)[:6] for made in framing.handleInputRows((1,), iter([frame]), At(0)) for r in made.itertuples(index=False)]
+
+    assert come(("a", 2, whole[7:9]), ("a", 1, whole[:7]), (None, 3, whole[:20])) == []
+    assert come(("b", 4, whole + whole[:4])) == [("b", 4, 0, "ok", 2 ** 31, 2 ** 60 + 1)]
+    assert sorted(come((None, 6, whole[20:]), ("a", 5, whole[9:] + whole)), key=repr) == sorted([
+        (None, 6, 0, "ok", 2 ** 31, 2 ** 60 + 1), ("a", 5, 0, "ok", 2 ** 31, 2 ** 60 + 1), ("a", 5, 1, "ok", 2 ** 31, 2 ** 60 + 1)], key=repr)
+    (waiting,), others = shared.known(framing.buffers.get()[0], ["b"], packets.BUFFERS)
+    assert waiting == [whole[:4]] and len(others) == 0
+
+
 def test_every_sensor_of_a_key_has_its_own_timer():
     totals, handle = timers.TotalsOnTimer(200, 1.0), Handle()
     totals.init(handle)
