@@ -7,6 +7,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stridelake.functions.crc import crc16, crc16_of_all
@@ -196,17 +198,16 @@ def frames(
     return fold_in_order(ordered, "sensor_id", ["arrival"], lambda: _framing(limit), FRAMES, rows)
 
 
-@F.pandas_udf(T.ArrayType(T.ShortType()))
-def raw_values(body: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(T.ArrayType(T.ShortType()))
+def raw_values(body: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Ten numbers per sample: acc, gyro and mag axes, and the temperature."""
     for batch in body:
-        data = [None if b is None else bytes(b) for b in batch]
-        samples = np.frombuffer(b"".join(b for b in data if b), dtype=SAMPLE_LAYOUT)
+        sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        samples = np.frombuffer(b"".join(batch.drop_null().to_pylist()), dtype=SAMPLE_LAYOUT)
         parts = [samples["acc"], samples["gyro"], samples["mag"], samples["temp"][:, None]]
         numbers = np.concatenate([p.astype(np.int16) for p in parts], axis=1).ravel()
-        ends = np.cumsum([len(b or b"") // SAMPLE_LAYOUT.itemsize * 10 for b in data])
-        yield pd.Series([None if b is None else numbers[e - len(b) // SAMPLE_LAYOUT.itemsize * 10:e]
-                         for b, e in zip(data, ends.tolist())], index=batch.index, dtype=object)
+        offsets = np.concatenate([[0], np.cumsum(sizes // SAMPLE_LAYOUT.itemsize * 10)])
+        yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(numbers), mask=batch.is_null())
 
 
 def _vector(raw: Column, at: Column, factor: float) -> Column:

@@ -103,14 +103,12 @@ def _hex(value: Column, digits: int) -> Column:
     return F.lpad(F.hex(F.pmod(value, F.lit(16 ** digits))), digits, "0")
 
 
-def _hex_little(value: Column, digits: int) -> Column:
-    text = _hex(value, digits)
+def _swapped(text: str | Column, digits: int) -> Column:
     return F.concat(*[F.substring(text, at, 2) for at in range(digits - 1, 0, -2)])
 
 
-def _hex_time(value: Column) -> Column:
-    text = F.lpad(F.hex(value), 16, "0")
-    return F.concat(*[F.substring(text, at, 2) for at in range(15, 0, -2)])
+def _hex_little(value: Column, digits: int) -> Column:
+    return _swapped(_hex(value, digits), digits)
 
 
 def event_packets(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,35 +121,46 @@ def event_packets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def packets_of(readings: DataFrame) -> DataFrame:
+    """What a packet needs many times is made once (`computed_once`), and only if the packet has it."""
     r = computed_once(readings, k=F.col("k"))
-    k, seq = F.col("k"), F.col("seq")
-    raw = F.round(F.col("predicted_velocity") * 10).cast("long")
+    k, seq, raw = F.col("k"), F.col("seq"), F.col("_raw")
     declared = F.floor(k / F.lit(20)).cast("int")
     short, extra, tiny = (k >= 20) & (k < 23), (k >= 40) & (k < 43), (k >= 60) & (k < 62)
+    held = declared + F.when(short, -1).when(extra, 1).otherwise(0)
+    r = computed_once(r, _held=F.when(~tiny, held))
+
+    def used(part: Column) -> Column:
+        return F.when(F.col("_held") > 0, part)
+
+    r = computed_once(r, _raw=used(F.round(F.col("predicted_velocity") * 10).cast("long")))
+    r = computed_once(
+        r, _seq=F.when(~tiny, _hex(seq * 64, 8)), _time=F.lpad(F.hex("kafka_timestamp"), 16, "0"),
+        _raw_k=used(F.concat(_hex(-raw, 4), _hex(k, 4))), _k=used(_hex(-k, 4)), _little_raw=_hex_little(raw, 4),
+        _temp=used(_hex(k - 50, 4)))
+
     def sample(j: Column) -> Column:
         return F.concat(
-            _hex(raw + j, 4), _hex(-raw, 4), _hex(k, 4),
-            _hex(k * 10 + j, 4), _hex(-k, 4), _hex(j, 4),
-            _hex_little(raw, 4), _hex_little(-k - j, 4), _hex_little(j, 4),
-            _hex(k - 50, 4))
-
-    held = declared + F.when(short, -1).when(extra, 1).otherwise(0)
-    places = F.when(held > 0, F.sequence(F.lit(0), held - 1)).otherwise(F.array().cast("array<int>"))
-    samples = F.array_join(F.transform(places, sample), "")
-    payload = F.when(tiny, F.lit("00FF00FF")).otherwise(F.concat(
-        _hex_little(seq * 64, 8), _hex_time(F.col("kafka_timestamp")), _hex_little(declared, 4), samples))
-    size = F.floor(F.length(payload) / F.lit(2)).cast("long")
-    framed = r.withColumn("_body", F.unhex(F.concat(F.lit("7C1E"), _hex_little(size, 4), payload)))
+            _hex(raw + j, 4), F.col("_raw_k"),
+            _hex(k * 10 + j, 4), F.col("_k"), _hex(j, 4),
+            F.col("_little_raw"), _hex_little(-k - j, 4), _hex_little(j, 4),
+            F.col("_temp"))
+
+    places = used(F.sequence(F.lit(0), F.col("_held") - 1))
+    samples = F.coalesce(F.array_join(F.transform(places, sample), ""), F.lit(""))
+    r = computed_once(r, _samples=samples)
+    r = computed_once(r, _payload=F.when(tiny, F.lit("00FF00FF")).otherwise(F.concat(
+        _swapped("_seq", 8), _swapped("_time", 16), _hex_little(declared, 4), F.col("_samples"))))
+    size = F.floor(F.length("_payload") / F.lit(2)).cast("long")
+    framed = r.withColumn("_body", F.unhex(F.concat(F.lit("7C1E"), _hex_little(size, 4), F.col("_payload"))))
     summed = framed.withColumn("_crc", crc16_arc("_body"))
     crc = F.when(k >= 97, F.col("_crc").bitwiseXOR(F.lit(1))).otherwise(F.col("_crc"))
     junk = F.when((k >= 10) & (k < 15), F.lit("7C00FF")).otherwise(F.lit(""))
-    whole = F.concat(junk, F.hex("_body"), _hex_little(crc.cast("long"), 4))
+    whole = F.concat(F.unhex(junk), F.col("_body"), F.unhex(_hex_little(crc.cast("long"), 4)))
     # The first message ends inside the packet, after ten bytes.
     halves = summed.withColumn("_whole", whole).select(
         "sensor_id", "seq", "_whole", F.explode(F.array(F.lit(0), F.lit(1))).alias("half"))
-    text = F.when(F.col("half") == 0, F.substring("_whole", 1, 20)).otherwise(F.substr("_whole", F.lit(21)))
-    return halves.select(
-        "sensor_id", (F.col("seq") * 2 + F.col("half")).alias("arrival"), F.unhex(text).alias("payload"))
+    payload = F.when(F.col("half") == 0, F.substring("_whole", 1, 10)).otherwise(F.substr("_whole", F.lit(11)))
+    return halves.select("sensor_id", (F.col("seq") * 2 + F.col("half")).alias("arrival"), payload.alias("payload"))
 
 
 def session_registry(spark: SparkSession, folder: str) -> DataFrame:

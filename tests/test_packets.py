@@ -4,12 +4,15 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from stridelake.functions.crc import crc16
 from stridelake.operators import packets
 from stridelake.operators.packets import feed, feed_all, frames, scan_frames
+from stridelake.plans import derive
 
 
 def packet(base=0, micros=1_000, samples=1, declared=None, extra=b"", payload=None, spoil=False):
@@ -154,3 +157,21 @@ def test_sums_of_many_values_are_those_of_each():
     rng = np.random.default_rng(3)
     values = [rng.bytes(n) for n in [0, 0, 1, 2, 3, 17, 17, 40, 80, 81, BLOCK - 1, BLOCK, BLOCK + 1, 3 * BLOCK, *rng.integers(0, 300, 200)]]
     assert crc16_of_all(values).tolist() == [crc16(v) for v in values] and len(crc16_of_all([])) == 0
+
+
+def test_bytes_become_ten_values_a_sample():
+    whole = struct.pack(">6h", 1, -2, 3, 4, -5, 6) + struct.pack("<3h", 7, -8, 9) + struct.pack(">h", -10)
+    given = pa.array([b"skipped", whole * 2, None, b"", whole], pa.binary()).slice(1)
+    values = [1, -2, 3, 4, -5, 6, 7, -8, 9, -10]
+    found = [made.to_pylist() for made in packets.raw_values.func(iter([given, given.slice(1, 1), given.slice(0, 0)]))]
+    assert found == [[values * 2, None, [], values], [None], []]
+
+
+def test_a_packet_without_samples_does_not_need_the_values_of_one(spark):
+    """k up to 19 has no samples, 60 and 61 have a payload too short for any number."""
+    events = [(1, "a", 5, float("nan"), 12), (2 ** 60, "b", 5, 1.0, 60), (3, "c", 5, None, 45), (4, "d", None, 1.0, 45), (5, "e", 5, 1.0, None)]
+    readings = spark.createDataFrame(events, "seq long, sensor_id string, kafka_timestamp long, predicted_velocity double, k int")
+    made = derive.packets_of(readings.withColumn("event_type", F.lit("x")))
+    assert made.count() == 10 and made.filter("payload is null").count() == 4
+    found = frames(made.filter("sensor_id is not null"), "arrival")
+    assert {r.sensor_id: r.status for r in found.collect()} == {"a": "no_samples", "b": "short_payload", "c": "short_samples"}
